@@ -31,5 +31,60 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(documents(spark, folder)).drop("text_hash")
 
 
+def vocabulary() -> str:
+    """The public vocabulary file that the token queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from .license_scan import scan
+
+    return scan(documents(spark, folder))
+
+
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    from .language_id import identify
+
+    return identify(documents(spark, folder)).drop("text_hash")
+
+
+def op5_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(documents(spark, folder), vocabulary())
+
+
+def op6_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    from .quality import judged
+
+    return judged(documents(spark, folder))
+
+
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from .secrets import scan
+
+    return scan(documents(spark, folder))
+
+
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    from .jaccard_join import near_groups
+
+    return near_groups(documents(spark, folder)).drop("kept", "text_hash")
+
+
+def op10_arrow_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    from .arrow_tokens import tokens_round_trip
+
+    return tokens_round_trip(documents(spark, folder), vocabulary())
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_mix_sources, op4_shard_by_bytes, op8_exact_dedup)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_license_scan, op2_language_id, op3_mix_sources, op4_shard_by_bytes, op5_mixture_packing,
+            op6_quality_ledger, op7_secret_scan, op8_exact_dedup, op9_jaccard_join, op10_arrow_tokens,
+        )
+    }
