@@ -1,0 +1 @@
+"""Document-to-retrieval analytics on PySpark."""
