@@ -1,0 +1,77 @@
+"""Scalar functions on the small cases; all cases of a function are one query."""
+
+from pyspark.sql import functions as F
+
+from folioforge.functions import text as T
+
+
+def values(spark, schema, rows, column):
+    numbered = [(i, *r) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(numbered, f"i int, {schema}")
+    return [r[0] for r in df.select("i", column.alias("v")).orderBy("i").select("v").collect()]
+
+
+def test_heading_level(spark):
+    cases = [
+        ("heading 2", "", 2), ("Heading 10", "", 1), ("소제목2", "", 4), ("List Bullet", "x", None), (None, "Chapter 3 Intro", 1), (None, "1.2.3 Foo", 3), (None, "1.2.3.4.5 Foo", 4),
+        (None, "3 files", 1), (None, "A1.1 Overview", None), (None, "1.2.3", None), (None, "1) x", None), (None, "chapter 12", 1), (None, None, None), (None, "1.1 Foo", 2),
+    ]
+    assert values(spark, "s string, t string", [c[:2] for c in cases], T.heading_level(F.col("s"), F.col("t"))) == [c[2] for c in cases]
+    assert values(spark, "s string, t string", [(None, "3 files"), (None, "3.1 x")], T.heading_level(F.col("s"), F.col("t"), strict=True)) == [None, 2]
+
+
+def test_clean_heading(spark):
+    cases = {"Chapter 1 Foo": "Foo", "1.1.1 Test": "Test", "Chapter 1 2 Foo": "Foo", "Appendix 1 X": "Appendix 1 X", "": ""}
+    assert values(spark, "t string", [(c,) for c in cases], T.clean_heading(F.col("t"))) == list(cases.values())
+
+
+def test_concat_tokens(spark):
+    cases = [("abc", "12", "abc12", "abc 12"), ("don", "'t", "don't", "don 't"), ("(", "x", "(x", "(x"), ("1.", "5", "1.5", "1.5"), ("x-", "y", "x-y", "x-y"), ("a", "b", "a b", "a b"), ("", "b", "b", "b"), ("a ", " ", "a", "a")]
+    rows = [c[:2] for c in cases]
+    assert values(spark, "l string, r string", rows, T.concat_tokens(F.col("l"), F.col("r"))) == [c[2] for c in cases]
+    assert values(spark, "l string, r string", rows, T.concat_tokens(F.col("l"), F.col("r"), run_rules=True)) == [c[3] for c in cases]
+    assert values(spark, "t array<string>", [(["a", "", None, ",", "b"],), ([],)], T.join_tokens(F.col("t"))) == ["a, b", ""]
+
+
+def test_labels_and_lists(spark):
+    cases = {0: "a", 25: "z", 26: "aa", 51: "az", 52: "ba", 701: "zz", 702: "aaa", 18277: "zzz", 18278: "aaaa"}
+    assert values(spark, "i2 int", [(c,) for c in cases], T.alpha_label(F.col("i2"))) == list(cases.values())
+    assert values(spark, "t string, x array<string>", [("Steps", ["one", " ", "two"]), ("", ["x"])], T.format_list(F.col("t"), F.col("x"))) == ["제목: Steps\na. one\nc. two", "a. x"]
+
+
+def test_section_intro(spark):
+    head = "This content is about the section A"
+    cases = [
+        ([], ""), (["A"], f"{head}."), (["Chapter 1 A", "1.1 B"], f"{head}, and more specifically it belongs to B."), (["A", "B", "C"], f"{head}, and more specifically it belongs to B, focusing on C."),
+        (["A", "B", "C", "D", "E"], f"{head}, and more specifically it belongs to B, under the subsection C, with a detailed reference to D."), (["", "A"], f"{head}."),
+    ]
+    assert values(spark, "p array<string>", [(c[0],) for c in cases], T.section_intro(F.col("p"))) == [c[1] for c in cases]
+
+
+def test_media_and_captions(spark):
+    t = "[Image:r1] [image:r2] [Image:r1] [Table:t3]"
+    assert values(spark, "t string", [(t,)], T.media_ids(F.col("t"), "Image")) == [["r1"]]
+    assert values(spark, "t string", [(t,), (None,)], T.media_ids(F.col("t"), "Table")) == [["t3"], []]
+    caption = F.create_map(F.lit("rid7"), F.lit("S $1 \\"))
+    cases = [("[Image:rId7] x [image:RID7]", "[Image:rId7] S $1 \\ x [image:RID7] S $1 \\"), ("no marker", "no marker"), ("[Image:none]", "[Image:none]"), ("", "")]
+    assert values(spark, "t string", [(c[0],) for c in cases], T.inject_captions(F.col("t"), caption)) == [c[1] for c in cases]
+    assert values(spark, "t string", [("system\nx\nuser\ny\nassistant\nHello",), (None,)], T.clean_caption(F.col("t"))) == ["Hello", ""]
+    assert values(spark, "t string", [("Here is: a chart",), ("This is a chart",), ("",), (None,), ("plain",)], T.normalize_caption(F.col("t"))) == ["a chart", "a chart", None, None, "plain"]
+
+
+def test_tokens(spark):
+    assert values(spark, "t string", [("데이터A 분석",), ("",), (None,)], T.tokens(F.col("t"), "ko")) == [["데이터A", "데이", "이터", "분석", "분석"], [], []]
+    assert values(spark, "t string", [("A b-c",), ("x",), (None,)], T.tokens(F.col("t"), "en")) == [["a", "b", "c", "a_b", "b_c"], ["x"], []]
+    assert values(spark, "t string", [("가나",), ("x y",)], T.tokens(F.col("t"), "auto")) == [["가나", "가나"], ["x", "y", "x_y"]]
+
+
+def test_small_ones(spark):
+    assert values(spark, "t string", [("a ​ b\t\r c ",)], T.normalize_run(F.col("t"))) == ["a b c"]
+    assert values(spark, "t string", [(" A b C ",)], T.normalize_for_compare(F.col("t"))) == ["abc"]
+    assert values(spark, "t string", [("v 1/x",), ("",), (None,)], T.safe_version(F.col("t"))) == ["v_1_x", "v1", "v1"]
+    assert values(spark, "t string", [("""<a href="x">'&amp;'</a>""",)], T.html_escape(F.col("t"))) == ["&lt;a href=&quot;x&quot;&gt;&#x27;&amp;amp;&#x27;&lt;/a&gt;"]
+    assert values(spark, "t string", [("dir/a.tar.gz",), (".env",)], T.file_stem(T.file_name(F.col("t")))) == ["a.tar", ".env"]
+    cell = [("x", ["r1"]), ("x [image:r1]", ["r1"]), ("", ["r1", "r2"]), (" x ", [])]
+    assert values(spark, "t string, i2 array<string>", cell, T.with_image_tokens(F.col("t"), F.col("i2"))) == ["x [image:r1]", "x [image:r1]", "[image:r1] [image:r2]", "x"]
+    matrix = [([["a", " b "], ["c"]], 0, 1), ([["a"]], 3, 0)]
+    assert values(spark, "m array<array<string>>, r int, c int", matrix, T.cell_at(F.col("m"), F.col("r"), F.col("c"))) == ["b", ""]
