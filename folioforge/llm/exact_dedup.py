@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, drop_rows, literal_array, own_columns, small
@@ -49,11 +49,16 @@ def directory(counts: dict[int, int], depth: int, capacity: int) -> tuple[list[i
     return slots, len(buckets)
 
 
+def index_key(text: Column) -> Column:
+    """The 64-bit key of a text in the index; different texts may share it."""
+    return F.xxhash64(text)
+
+
 def exact_groups(docs: DataFrame, capacity: int = 1 << 17) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, text_hash (xxhash64 of the text)."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "exact_dedup")
-    texts = own_columns(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    texts = own_columns(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", index_key(F.col("text")))
     rows = scratch.table(texts.select("doc_id", "h", F.unhex(F.sha2("text", 256)).alias("sha"), F.monotonically_increasing_id().alias("rid")))
     best = F.max(F.struct("doc_id", "rid")).alias("best")
     entries = scratch.table(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), best))
