@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from ..functions.text import tokens
 
 
+#: Ranges of terms that are numbered on their own.
+RANGES = 64
+
+
 @dataclass(frozen=True)
 class Params:
     language: str = "en"
@@ -55,8 +59,15 @@ def vocabulary(toks: DataFrame, params: Params) -> DataFrame:
 
 
 def numbered(vocab: DataFrame) -> DataFrame:
-    """Adds idx, the rank of the term, with no task that holds all terms: places in sorted partitions plus their starts."""
-    parts = vocab.repartitionByRange(F.col("term")).sortWithinPartitions("term").withColumn("part", F.spark_partition_id())
+    """Adds idx, the rank of the term, with no task that holds all terms: places in ranges plus the ranges' starts.
+
+    The ranges' bounds are taken from a sample by hash (RANGES of them reach the driver), so they are the same wherever
+    they are used.
+    """
+    every = max(1, vocab.count() // (16 * RANGES))
+    sample = [r[0] for r in vocab.filter(F.pmod(F.xxhash64("term"), F.lit(every)) == 0).select("term").orderBy("term").collect()]
+    bounds = F.array(*map(F.lit, sample[16::16])).cast("array<string>")
+    parts = vocab.withColumn("part", F.size(F.filter(bounds, lambda b: b <= F.col("term"))))
     local = parts.withColumn("here", F.row_number().over(Window.partitionBy("part").orderBy("term")))
     start = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     start = start.select(F.col("part").alias("of"), F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))

@@ -32,16 +32,23 @@ def max_sim(query: Column, doc: Column) -> Column:
 METRICS: dict[str, tuple[Callable[[Column, Column], Column], bool]] = {"cosine": (cosine, True), "dot": (dot, True), "euclid": (euclid, False), "max_sim": (max_sim, True)}
 
 
-def top_k(corpus: DataFrame, queries: DataFrame, metric: str, k: int, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def top_k(corpus: DataFrame, queries: DataFrame, metric: str, k: int, key: str = "vec_id", vector: str = "embedding", block: int = 4096) -> DataFrame:
     """query_id, key, score, rank: each query's k best rows of the corpus, ties by key.
 
-    queries (query_id, query) are few and broadcast; the corpus stays where it is, and every task sends on its own k best
-    of each query only (Spark pushes the rank limit below the shuffle), so the ranking sees k rows a query and task.
+    queries (query_id, query) are counted and taken in blocks of about ``block``, one broadcast each, so what is broadcast
+    is bounded however many there are.  The corpus stays where it is, and every task sends on its own k best of each
+    query only (Spark pushes the rank limit below the shuffle), so the ranking sees k rows a query and task.
     """
     measure, largest = METRICS[metric]
-    scored = corpus.join(F.broadcast(queries)).select("query_id", F.col(key), measure(F.col("query"), F.col(vector)).alias("score"))
     order = F.col("score").desc() if largest else F.col("score").asc()
-    return scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(order, F.col(key)))).filter(F.col("rank") <= k)
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(order, F.col(key)))
+    blocks, out = max(1, -(-queries.count() // block)), None
+    for b in range(blocks):
+        some = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b)
+        scored = corpus.join(F.broadcast(some)).select("query_id", F.col(key), measure(F.col("query"), F.col(vector)).alias("score"))
+        best = scored.withColumn("rank", rank).filter(F.col("rank") <= k)
+        out = best if out is None else out.unionByName(best)
+    return out
 
 
 def fuse(rankings: list[DataFrame], key: str = "doc_id", constant: int = 60) -> DataFrame:

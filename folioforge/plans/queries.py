@@ -552,14 +552,14 @@ def bm25_search(spark, folder):
 def _top(metric: str, k: int = 10):
     def run(spark, folder):
         e = table(spark, folder, "embeddings")
-        q = e.filter("vec_id < 5").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+        q = e.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
         return vectors.top_k(e, q, metric, k).select("query_id", "vec_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
 
     return run
 
 
 def _top_sql(score: str, order: str) -> str:
-    return f"""WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS a FROM embeddings WHERE vec_id < 5), e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS b FROM embeddings),
+    return f"""WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS a FROM embeddings WHERE vec_id % 20 = 0), e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS b FROM embeddings),
     s AS (SELECT query_id, vec_id, {score} AS score FROM q, e), k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score {order}, vec_id) AS rank FROM s)
     SELECT query_id, vec_id, rank, round(score, 6) AS score FROM k WHERE rank <= 10"""
 
@@ -574,14 +574,14 @@ for _name, _metric, _score, _order in (
 
 @query(
     """WITH e AS (SELECT vec_id, vec_id // 5 AS doc_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-    b AS (SELECT q.doc_id AS query_id, q.vec_id, d.doc_id, max(list_dot_product(q.v, d.v)) AS s FROM e q, e d WHERE q.doc_id < 3 GROUP BY ALL),
+    b AS (SELECT q.doc_id AS query_id, q.vec_id, d.doc_id, max(list_dot_product(q.v, d.v)) AS s FROM e q, e d WHERE q.doc_id % 20 = 0 GROUP BY ALL),
     s AS (SELECT query_id, doc_id, sum(s) AS score FROM b GROUP BY ALL), k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s)
     SELECT query_id, doc_id, rank, round(score, 6) AS score FROM k WHERE rank <= 10"""
 )
 def maxsim_topk(spark, folder):
     e = table(spark, folder, "embeddings")
     d = e.groupBy(F.floor(F.col("vec_id") / 5).alias("doc_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))), lambda x: x["embedding"]).alias("vectors"))
-    q = d.filter("doc_id < 3").select(F.col("doc_id").alias("query_id"), F.col("vectors").alias("query"))
+    q = d.filter("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), F.col("vectors").alias("query"))
     return vectors.top_k(d, q, "max_sim", 10, "doc_id", "vectors").select("query_id", "doc_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
 
 
