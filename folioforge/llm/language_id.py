@@ -22,7 +22,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import own_columns, ship_package
+from .common import own_columns, ship_package, small
 
 UNDETERMINED = "und"
 
@@ -76,7 +76,8 @@ def profiles(labelled: DataFrame, profile_size: int = 400, sample_per_language:
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     rate = rows.groupBy("lang").agg((F.lit(sample_per_language) / F.count(F.lit(1))).alias("rate")).withColumnRenamed("lang", "of")
     luck = F.xxhash64("doc_id", F.lit(11)).bitwiseAND(F.lit((1 << 32) - 1)) / float(1 << 32)
-    sample = rows.join(rate, F.col("lang") == F.col("of")).filter(luck < F.col("rate")).select("lang", "text")
+    # A row a language; broadcast, as else the texts would be shuffled by language.
+    sample = rows.join(small(rate, 64), F.col("lang") == F.col("of")).filter(luck < F.col("rate")).select("lang", "text")
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
