@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import concat_tokens, is_blank, join_lines, normalize_run, strip, text_or_empty
+from ..shipping import ship_package
 
 RUN = "struct<text:string,b:boolean,i:boolean,u:boolean,rStyle:string,sz:double,color:string,image_rids:array<string>>"
 FORMAT = ("b", "i", "u", "rStyle", "sz", "color")
@@ -121,6 +122,7 @@ def merge_sources(first: DataFrame, second: DataFrame) -> DataFrame:
 
     Greedy matching in order is a walk over a document, so documents are the groups of a cogrouped pandas function.
     """
+    ship_package(first.sparkSession)
 
     def run(a, b):
         a, b = a.sort_values("ord"), b.sort_values("ord")
