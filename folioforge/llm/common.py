@@ -5,14 +5,14 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Sequence
 from functools import reduce
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship_package  # noqa: F401  for the operators
+
 #: A word: a maximal run of characters that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -30,20 +30,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Sends this package's modules to the executors, once a context, so that their workers can import them."""
-    context = spark.sparkContext
-    if getattr(context, "_folioforge_shipped", False):
-        return
-    root = Path(__file__).resolve().parents[1]
-    target = Path(tempfile.mkdtemp(prefix="folioforge-")) / "folioforge_modules.zip"
-    with zipfile.ZipFile(target, "w") as out:
-        for module in sorted(root.rglob("*.py")):
-            out.write(module, module.relative_to(root.parent))
-    context.addPyFile(str(target))
-    context._folioforge_shipped = True
-
-
 class Scratch:
     """Tables written to the shared folder, so that a lost executor costs the reading of files, not a recomputation."""
 
