@@ -116,7 +116,8 @@ def connected_components(edges: DataFrame, scratch: Scratch, max_rounds: int = 6
     def star(e: DataFrame, large: bool) -> DataFrame:
         # e: rows (u, v) with v < u
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # Written, so that both sides of the join are shuffled: a node of many neighbours is then split at run time.
+        least = scratch.table(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         moved = both.join(least, "u")
         if large:
             moved = moved.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
