@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, own_columns, ship_package
 
+#: Rows that one window task holds at most, about.
+BLOCK_ROWS = 1 << 18
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
@@ -128,8 +130,14 @@ class Schedule:
             yield run
 
 
-def queues(rows: DataFrame, scratch: Scratch, block_rows: int = 1 << 18) -> tuple[DataFrame, DataFrame]:
-    """(key, queue, sent) with sent the queue's tokens up to the row's end; and (source, queue, tokens)."""
+def queues(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(key, queue, sent) with sent the queue's tokens up to the row's end; and (source, queue, tokens).
+
+    Blocks are a few for each task of the shuffle, so the queue of a hot source is spread over as many tasks as its rows
+    are worth; beyond BLOCK_ROWS rows a block there are more of them.
+    """
+    tasks = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    block_rows = min(BLOCK_ROWS, max(64, rows.count() // tasks))
     everything = Window.partitionBy()
     sources = rows.groupBy("source").agg(F.sum("n").alias("tokens"), F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block_rows)).alias("blocks"))
     sources = scratch.table(sources.withColumn("queue", F.row_number().over(everything.orderBy(F.col("source").isNull(), "source")) - 1))
