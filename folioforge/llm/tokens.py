@@ -75,7 +75,7 @@ class _Ragged:
 class PieceEncoder:
     """Encodes Arrow string arrays; ``max_chunks`` bounds the cache of ids, ``slice_bytes`` the text held at once."""
 
-    def __init__(self, path: str, max_chunks: int = 1_000_000, slice_bytes: int = 16 << 20):
+    def __init__(self, path: str, max_chunks: int = 600_000, slice_bytes: int = 4 << 20):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
