@@ -4,7 +4,7 @@ A part is the documents of one range of doc_id, in ascending order, encoded in o
 in the target folder:
 
 * ``part-NNNNN.tokens.arrow``: batches of (ids: fixed_size_list<uint16 or uint32>[sequence_length], mask:
-  fixed_size_list<uint8>[sequence_length]); the part's ids one after the other, the last sequence padded with mask 0;
+  fixed_size_list<bool>[sequence_length]); the part's ids one after the other, the last sequence padded with mask false;
 * ``part-NNNNN.docs.arrow``: (doc_id, start, n_tokens), where start counts the part's ids before the document.
 
 Files are written under a name of the attempt and renamed when whole, so a task that is lost and run again, or twice,
@@ -46,7 +46,7 @@ def _write_part(uri: str, part: int, attempt: str, batches: Iterator, path: str,
     system, folder = _folder(uri)
     enc = encoder(path)
     id_type = pa.uint16() if max(enc.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else pa.uint32()
-    schema = pa.schema([("ids", pa.list_(id_type, length)), ("mask", pa.list_(pa.uint8(), length))])
+    schema = pa.schema([("ids", pa.list_(id_type, length)), ("mask", pa.list_(pa.bool_(), length))])
     doc_schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
     names = [f"part-{part:05d}.{kind}.arrow" for kind in ("tokens", "docs")]
     drafts = [f"{folder}/.{attempt}-{name}" for name in names]
@@ -54,7 +54,7 @@ def _write_part(uri: str, part: int, attempt: str, batches: Iterator, path: str,
     held, start, docs = np.zeros(0, id_type.to_pandas_dtype()), 0, 0
 
     def batch(ids, mask):
-        lists = (pa.FixedSizeListArray.from_arrays(pa.array(x, t), length) for x, t in ((ids, id_type), (mask, pa.uint8())))
+        lists = (pa.FixedSizeListArray.from_arrays(pa.array(x, t), length) for x, t in ((ids, id_type), (mask, pa.bool_())))
         return pa.RecordBatch.from_arrays(list(lists), schema=schema)
 
     with system.open_output_stream(drafts[0]) as out, system.open_output_stream(drafts[1]) as doc_out:
@@ -65,14 +65,14 @@ def _write_part(uri: str, part: int, attempt: str, batches: Iterator, path: str,
                     held = np.concatenate([held, ids.astype(held.dtype)])
                     while len(held) >= length * BATCH_SEQUENCES:
                         now, held = held[: length * BATCH_SEQUENCES], held[length * BATCH_SEQUENCES :]
-                        writer.write_batch(batch(now, np.ones(len(now), np.uint8)))
+                        writer.write_batch(batch(now, np.ones(len(now), bool)))
                     starts = start + np.cumsum(counts) - counts
                     doc_writer.write_batch(pa.RecordBatch.from_arrays([rows.column("doc_id")[at : at + len(counts)], pa.array(starts), pa.array(counts)], schema=doc_schema))
                     start, docs, at = start + int(counts.sum()), docs + len(counts), at + len(counts)
             if len(held):
                 whole = -(-len(held) // length) * length
-                ids, mask = np.zeros(whole, held.dtype), np.zeros(whole, np.uint8)
-                ids[: len(held)], mask[: len(held)] = held, 1
+                ids, mask = np.zeros(whole, held.dtype), np.zeros(whole, bool)
+                ids[: len(held)], mask[: len(held)] = held, True
                 writer.write_batch(batch(ids, mask))
     for draft, name in zip(drafts, names, strict=True):
         system.move(draft, f"{folder}/{name}")
@@ -95,14 +95,14 @@ class SequenceFile:
         return (n - 1) * BATCH_SEQUENCES + self.reader.get_batch(n - 1).num_rows if n else 0
 
     def column(self, batch: int, name: str):
-        """All values of a batch's column, as a view."""
+        """All values of a batch's column, as an Arrow array on the file's bytes."""
         array = self.reader.get_batch(batch).column(name)
-        return array.values.slice(array.offset * self.length, len(array) * self.length).to_numpy(zero_copy_only=True)
+        return array.values.slice(array.offset * self.length, len(array) * self.length)
 
     def sequence(self, i: int):
-        """(ids, mask) of sequence i, as views."""
-        at = slice(i % BATCH_SEQUENCES * self.length, (i % BATCH_SEQUENCES + 1) * self.length)
-        return tuple(self.column(i // BATCH_SEQUENCES, name)[at] for name in ("ids", "mask"))
+        """(ids, mask) of sequence i, as views: a NumPy array, and an Arrow array of bits."""
+        batch, at = i // BATCH_SEQUENCES, i % BATCH_SEQUENCES * self.length
+        return self.column(batch, "ids").slice(at, self.length).to_numpy(zero_copy_only=True), self.column(batch, "mask").slice(at, self.length)
 
     def tokens(self, start: int, n: int):
         """n ids from the start-th on."""
@@ -110,7 +110,7 @@ class SequenceFile:
 
         step, found = BATCH_SEQUENCES * self.length, []
         while n > 0:
-            here = self.column(start // step, "ids")[start % step : start % step + n]
+            here = self.column(start // step, "ids").slice(start % step, n).to_numpy(zero_copy_only=True)
             found.append(here)
             start, n = start + len(here), n - len(here)
         return found[0] if len(found) == 1 else np.concatenate([np.zeros(0, np.uint16), *found])

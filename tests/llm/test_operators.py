@@ -211,7 +211,7 @@ def test_arrow_files_are_read_at_random(small, tmp_path):
         for i in (len(f) - 1, 0, len(f) // 2):
             ids, mask = f.sequence(i)
             n = min(2048, p["n_tokens"] - i * 2048)
-            assert ids[:n].tolist() == stream[at + i * 2048 : at + i * 2048 + n].tolist() and mask.tolist() == [1] * n + [0] * (2048 - n)
+            assert ids[:n].tolist() == stream[at + i * 2048 : at + i * 2048 + n].tolist() and mask.to_pylist() == [True] * n + [False] * (2048 - n)
             assert not ids.flags.owndata  # a view of the mapped file
         at += p["n_tokens"]
 
