@@ -143,7 +143,7 @@ def read_documents(parts: DataFrame) -> DataFrame:
     """One row per document, read from the files: doc_id, start (ids before it, over all parts), n_tokens, ids_crc32."""
     ship_package(parts.sparkSession)
     before = F.coalesce(F.sum("n_tokens").over(Window.partitionBy().orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    todo = parts.select("tokens_file", "docs_file", before.alias("before")).repartition("docs_file")
+    todo = parts.select("tokens_file", "docs_file", before.alias("before")).repartition(max(1, parts.count()))  # a task a part
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
