@@ -40,5 +40,35 @@ FROM c
 """
 
 
+OP6 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS k FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+x AS (SELECT k, unnest(range(1, len(w) - 6)) AS i, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) AS s FROM w WHERE len(w) >= 8),
+twice AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, s) AS n FROM x) WHERE n > 1),
+covered AS (SELECT k, count(DISTINCT p) AS n FROM (SELECT k, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY k),
+l AS (SELECT k, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l FROM d),
+m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+  FROM w JOIN l USING (k) LEFT JOIN covered USING (k)),
+b AS (SELECT *, CAST((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT + 4 * (word_chars < 2 * n_words)::INT + 8 * (word_chars > 14 * n_words)::INT
+  + 16 * (10 * n_symbols > 6 * n_words)::INT + 32 * (n_dup_lines >= 3 AND 8 * n_dup_lines > n_words)::INT AS BIGINT) AS fail_bits FROM m)
+SELECT *, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, 'v1' AS policy FROM b
+"""
+
+
+def _op1() -> str:
+    from .license_scan import TEMPLATES
+
+    rows = ", ".join("('" + "', '".join(x.replace("'", "''") for x in item) + "')" for item in TEMPLATES.items())
+    shingles = "list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))"
+    tokens = r"list_filter(regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
+    return f"""
+WITH t AS (SELECT license, {shingles} AS s FROM (SELECT license, {tokens.format('text')} AS w FROM (VALUES {rows}) v(license, text))),
+d AS (SELECT doc_id, {shingles} AS s FROM (SELECT doc_id, {tokens.format('text')} AS w FROM documents WHERE text IS NOT NULL) WHERE len(w) >= 5),
+m AS (SELECT doc_id, license, CAST(len(list_intersect(d.s, t.s)) AS BIGINT) AS n_found, len(t.s) AS n FROM d, t)
+SELECT doc_id, license, n_found, CAST(n_found AS DOUBLE) / n AS containment FROM m WHERE CAST(n_found AS DOUBLE) / n >= 0.8
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_sources": OP3, "op8_exact_dedup": OP8}
+    return {"op1_license_scan": _op1(), "op3_mix_sources": OP3, "op6_quality_ledger": OP6, "op8_exact_dedup": OP8}
