@@ -44,7 +44,7 @@ class IndexConfig:
 
 @dataclass(frozen=True)
 class Settings:
-    name: str = "manual_prep"
+    name: str = "documents"
     language: str = "ko"
     version: str = "v2"
     index: IndexConfig = field(default_factory=IndexConfig)

@@ -11,7 +11,7 @@ from folioforge.sources import docjson
 
 
 def test_settings():
-    assert Settings().collection == "manual_prep_v2_ko" and Settings(version=" a/b ").safe_version == "a_b" and Settings(version="").safe_version == "v1"
+    assert Settings().collection == "documents_v2_ko" and Settings(version=" a/b ").safe_version == "a_b" and Settings(version="").safe_version == "v1"
     assert file_names("a, b,,") == ("a", "b") == file_names(["a", " b"]) and file_names(None) == ()
     try:
         IndexConfig(distance="near")
