@@ -17,27 +17,67 @@ rows that repeat a doc_id have their own rows; an empty table gives no rows; oth
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import own_columns
+from .common import literal_array, own_columns
 
 SHINGLE, SEGMENT, BANDS, BAND_ROWS = 5, 4, 2, 2
 #: Values that the shingle hashes are combined with, one a MinHash: the least result is a hash's choice.
 SEEDS = (0x1B873593CC9E2D51, 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D, 0x14057B7EF767814F)
 
-# Short notices of public licenses, and the opening of their long ones.
+# Whole texts (in licenses/), notices and short wordings. Templates of different licenses stay below the
+# containment of 0.8 in each other's texts: where whole texts or notices share more (BSD, ISC, MIT and MIT-0, GPL-3.0 and AGPL-3.0,
+# the LGPLs, the versions and kinds of GNU notices), the template is the passage that tells them apart, which every such text has.
+_GNU, _FSF = "terms of the GNU {} as published by the Free Software Foundation", "{} version {} of the License"
+_GPL, _LGPL, _AGPL = (f"{kind}General Public License" for kind in ("", "Lesser ", "Affero "))
+_OTHER = "other materials provided with the distribution. "
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+_SHORT = {"MIT": "the MIT License", "Apache-2.0": "the Apache License, Version 2.0", "ISC": "the ISC License", "Unlicense": "the Unlicense license", "BSD-2-Clause": "the BSD 2-Clause License", "BSD-3-Clause": "the BSD 3-Clause License"}
+
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "MIT": "Released under the MIT License.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "GPL-3.0": "under the GNU General Public License, version 3.",
+    "GPL-2.0": "under the GNU General Public License, version 2.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "MIT (text)": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
-    "BSD-3-Clause (text)": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    "GPL-3.0 (text)": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "Apache-2.0 (text)": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+    **{f"{name} ({how})": f"{how} under {text}" for name, text in _SHORT.items() for how in ("licensed", "released", "distributed", "available") if (name, how) not in {("MIT", "released"), ("Apache-2.0", "licensed")}},
+    **{f"CC-{k}-4.0": f"Licensed under CC {k} 4.0." for k in _CC if k != "BY-NC"},
+    **{f"CC-{k}-4.0 (named)": f"Creative Commons {v} 4.0 International" for k, v in _CC.items()},
+    "Apache-2.0 (header)": "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+    "MPL-2.0 (header)": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at",
+    **{
+        f"{name}-{v}-or-later (notice)": f"{_GNU.format(kind)}, {_FSF.format('either', v)}"
+        for name, kind, v in (("GPL", _GPL, "2"), ("GPL", _GPL, "3"), ("LGPL", _LGPL, "2.1"))
+    },
+    **{
+        f"{name}-{v}-only (notice)": f"{_GNU.format(kind)}, {_FSF.format('', v)}"
+        for name, kind, v in (("GPL", _GPL, "2"), ("GPL", _GPL, "3"), ("LGPL", _LGPL, "2.1"))
+    },
+    **{f"GPL-{v}-only (version first)": f"terms of the GNU {_GPL} version {v} as published by the Free Software Foundation" for v in "23"},
+    # Without the version: with it, the texts of GPL-3.0 and MPL-2.0, which name both, would hold 0.8 of them.
+    "LGPL (notice)": f"terms of the GNU {_LGPL} as published by",
+    "AGPL (notice)": f"terms of the GNU {_AGPL} as published by",
+    "LGPL (named)": f"under the GNU {_LGPL}",
+    "AGPL (named)": f"under the GNU {_AGPL}",
+    "MPL-2.0": "under the Mozilla Public License, version 2.0",
+    "BSD-2-Clause (text)": f"{_OTHER} THIS SOFTWARE IS PROVIDED BY THE",
+    "BSD-3-Clause (text)": f"{_OTHER} Neither the name",
+    "BSD-3-Clause (numbered text)": f"{_OTHER} 3. Neither the name",
+    "BSD-4-Clause (text)": "All advertising materials mentioning features or use of this software must display the following acknowledgement",
+    "ISC (text)": "distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "0BSD (text)": "for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS",
+    "MIT (text)": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "MIT-0 (text)": "to permit persons to whom the Software is furnished to do so. THE SOFTWARE IS PROVIDED \"AS IS\"",
+    "LGPL-2.0 (text)": "This license, the Library General Public License, applies to some specially designated Free Software Foundation software, and to any other libraries whose authors decide to use it.",
+    "LGPL-2.1 (text)": "We call this license the \"Lesser\" General Public License because it does Less to protect the user's freedom than the ordinary General Public License. It also provides other free software developers Less of an advantage over competing non-free programs.",
+    "GPL-3.0 (text)": "you have permission to link or combine any covered work with a work licensed under version 3 of the GNU Affero General Public License into a single combined work, and to convey the resulting work. The terms of this License will continue to apply to the part which is the covered work, but the special requirements of the GNU Affero General Public License, section 13, concerning interaction through a network will apply to the combination as such.",
+    "AGPL-3.0 (text)": "if you modify the Program, your modified version must prominently offer all users interacting with it remotely through a computer network (if your version supports such interaction) an opportunity to receive the Corresponding Source of your version by providing access to the Corresponding Source from a network server at no charge",
+    **{f"{f.stem} (text)": f.read_text() for f in sorted((Path(__file__).parent / "licenses").glob("*.txt"))},
 }
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
@@ -73,33 +113,42 @@ def _window_keys(hashes: Column, length: int) -> Column:
     return F.flatten(F.transform(starts, lambda i: F.array(*(_band(F.slice(hashes, i, F.lit(length)), length, b) for b in range(BANDS)))))
 
 
-def template_bands(spark: SparkSession, templates: Mapping[str, str]) -> DataFrame:
-    """license, shingles (distinct), segment, and its key for each band."""
-    rows = F.explode(F.map_from_arrays(F.array(*map(F.lit, templates)), F.array(*map(F.lit, templates.values()))))
-    table = spark.range(1).select(rows).select(F.col("key").alias("license"), shingles(F.col("value")).alias("all"))
-    cut = F.transform(F.sequence(F.lit(1), F.size("all"), F.lit(SEGMENT)), lambda i: F.slice(F.col("all"), i, F.lit(SEGMENT)))
-    table = table.filter(F.size("all") > 0).select("license", F.array_distinct("all").alias("wanted"), F.explode(cut).alias("segment"))
+def template_shingles(spark: SparkSession, templates: Mapping[str, str]) -> dict[str, list[int]]:
+    """The shingles of each template that has one, in order."""
+    rows = F.explode(F.from_json(F.lit(json.dumps(list(templates.items()))), "array<array<string>>")).alias("row")
+    found = spark.range(1).select(rows).select(F.get("row", F.lit(0)).alias("license"), shingles(F.get("row", F.lit(1))).alias("all")).collect()
+    return {r["license"]: r["all"] for r in found if r["all"]}
+
+
+def template_bands(spark: SparkSession, wanted: Mapping[str, list[int]]) -> DataFrame:
+    """license, segment, and its key for each band."""
+    segments = [{"license": k, "segment": all_[i : i + SEGMENT]} for k, all_ in wanted.items() for i in range(0, len(all_), SEGMENT)]
+    rows = F.inline(F.from_json(F.lit(json.dumps(segments)), "array<struct<license:string,segment:array<bigint>>>"))
     key = F.lit(None).cast("array<bigint>")
     for n in range(1, SEGMENT + 1):
         key = F.when(F.size("segment") == n, F.array(*(_band(F.col("segment"), n, b) for b in range(BANDS)))).otherwise(key)
-    return table.withColumn("keys", key)
+    return spark.range(1).select(rows).withColumn("keys", key)
 
 
 def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, containment: float = 0.8) -> DataFrame:
     """One row per document and license found in it: doc_id, license, n_found (shingles), containment."""
     spark = docs.sparkSession
-    bands = template_bands(spark, templates)
-    found = bands.collect()  # a few rows a template
+    shingled = template_shingles(spark, templates)
+    found = template_bands(spark, shingled).collect()  # a row for every SEGMENT shingles of a template
     least = sorted({_chosen(r["segment"], s) for r in found for s in SEEDS[: BANDS * BAND_ROWS]})
     keys = {n: sorted({k for r in found if len(r["segment"]) == n for k in r["keys"]}) for n in range(1, SEGMENT + 1)}
-    constant = lambda values: F.array(*map(F.lit, values)).cast("array<bigint>")
+    constant = lambda values: literal_array(values, "bigint")
 
     rows = own_columns(docs, "doc_id", "text").select("doc_id", shingles(F.col("text")).alias("all"))
-    rows = rows.filter(F.arrays_overlap("all", constant(least)))
+    # A set of constants: the work of a text goes with its own shingles, not with the templates'.
+    rows = rows.filter(F.expr(f"exists(all, h -> h in ({', '.join(f'{x}L' for x in least)}))") if least else F.lit(False))
     hits = [F.array_intersect(_window_keys(F.col("all"), n), constant(ks)) for n, ks in keys.items() if ks]
     collided = rows.withColumn("hits", F.array_distinct(F.concat(*hits)))
     # Retrieved templates are those with a key among the row's; their table has a few rows, fixed with the templates.
-    wanted = {r["license"]: (r["wanted"], sorted({k for x in found if x["license"] == r["license"] for k in x["keys"]})) for r in found}
+    of = {name: set() for name in shingled}
+    for r in found:
+        of[r["license"]].update(r["keys"])
+    wanted = {name: (list(dict.fromkeys(all_)), sorted(of[name])) for name, all_ in shingled.items()}
     retrieved = F.array(
         *(F.when(F.arrays_overlap("hits", constant(ks)), F.struct(F.lit(name).alias("license"), constant(w).alias("wanted"))) for name, (w, ks) in wanted.items())
     )
