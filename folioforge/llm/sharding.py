@@ -2,7 +2,7 @@
 
 Documents are ordered by (hash of the text, doc_id).  A size-weighted sample of the keys (its expected size is a
 parameter) gives quantile boundaries of many small ranges; ranges found overfull, as one text may have a third of all
-rows, are subdivided by a hash of doc_id.  One aggregate counts the bytes and rows of every range; the running sums of
+rows, are subdivided by a hash of the text, and the rows of texts above ``together`` by a hash of doc_id.  One aggregate counts the bytes and rows of every range; the running sums of
 that table (at most a few thousand rows, on the driver) place each range, and a window inside a range places its rows,
 so no task ever sorts more than one small range.  A document goes to the shard in which its middle byte lies; the rows
 of one text go together, by their common middle, unless they are more than ``together`` of a shard.
@@ -67,7 +67,11 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, max_ranges: int = 4096, ro
         if ranges > 1:
             parts[r[0]] = max(1, round(2 * r[1] / limit) if r[1] > limit else 1, round(2 * r[2] / most_rows) if r[2] > most_rows else 1)
     first = [sum(parts[:i]) for i in range(ranges)]
-    part = F.pmod(F.xxhash64("doc_id", "rid"), F.element_at(literal_array(parts, "int"), F.col("range") + 1).cast("long"))
+    split = [r for r, k in enumerate(parts) if k > 1]
+    apart = ranged.filter(F.col("range").isin(split)).groupBy("k").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > together * total / shards)
+    hot = [r[0] for r in apart.select("k").collect()] if split else []  # fewer than shards / together
+    spread = F.when(F.col("k").isin(hot), F.xxhash64("doc_id", "rid")).otherwise(F.xxhash64("k", F.lit(29))) if hot else F.xxhash64("k", F.lit(29))
+    part = F.pmod(spread, F.element_at(literal_array(parts, "int"), F.col("range") + 1).cast("long"))
     celled = ranged.withColumn("cell", (F.element_at(literal_array(first, "int"), F.col("range") + 1) + part).cast("int")).drop("range")
 
     bytes_before, rows_before, b, m = [], [], 0, 0
