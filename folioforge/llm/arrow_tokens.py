@@ -1,7 +1,7 @@
 """Token ids as Arrow files with fixed-size-list batches: zero-copy random access to equal-length sequences and masks.
 
-A part is the documents of one range of doc_id, in ascending order, encoded in one task.  It is two Arrow IPC files
-in the target folder:
+A part is the documents of one range of (doc_id, hash of the text), in ascending order, encoded in one task; there are as
+many parts as PART_BYTES of text.  It is two Arrow IPC files in the target folder:
 
 * ``part-NNNNN.tokens.arrow``: batches of (ids: fixed_size_list<uint16 or uint32>[sequence_length], mask:
   fixed_size_list<bool>[sequence_length]); the part's ids one after the other, the last sequence padded with mask false;
@@ -11,8 +11,10 @@ Files are written under a name of the attempt and renamed when whole, so a task
 leaves the same files.  The parts' ranges ascend, so the running sum of their sizes gives every document's place in
 the whole.  Only one shuffle is needed, of the texts by doc_id range.
 
-Defined cases: null text has only the end id; null doc_ids come first; rows that repeat a doc_id follow each other; an
-empty table leaves no parts; other columns are ignored.
+Defined cases: null text has only the end id; null doc_ids come first; rows that repeat a doc_id follow each other in the
+order of their texts' hash, and may go to several parts (those that repeat the text, too, are alike), so places are the same in
+every run; a text of any length is one document of one part, in memory with its ids while it is encoded; an empty table
+leaves no parts; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from pyspark.sql import functions as F
 from .common import Scratch, own_columns, ship_package
 
 BATCH_SEQUENCES = 1024
+#: Bytes of text that a part has, about, unless more parts are needed for all tasks to have one.
+PART_BYTES = 64 << 20
 PARTS = "part bigint, tokens_file string, docs_file string, n_docs bigint, n_tokens bigint"
 
 
@@ -119,9 +123,12 @@ class SequenceFile:
 def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int = 2, length: int = 2048, parts: int | None = None) -> DataFrame:
     """Writes the parts of docs to folder (a URI that all executors reach); one row of PARTS each, not yet run."""
     ship_package(docs.sparkSession)
+    base = own_columns(docs, "doc_id", "text").select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.monotonically_increasing_id().alias("row"))
     if parts is None:
-        parts = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = own_columns(docs, "doc_id", "text").repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+        total = base.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        parts = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("text_hash"), F.col("row")]
+    ordered = base.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def run(batches: Iterator) -> Iterator:
         import itertools

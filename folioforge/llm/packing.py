@@ -1,6 +1,7 @@
 """Mixture-controlled packing by deficit round-robin over source queues.
 
-Every source is a queue of documents in a fixed pseudo-random order.  A round fills one window of ``window`` sequences:
+Every source is a queue of documents in the order of a hash of doc_id and text, so a document's place doesn't depend on files
+or partitions.  A round fills one window of ``window`` sequences:
 each backlogged source's counter gains its quantum (its weight's share of the window), the source sends as many whole
 tokens as the counter holds, and the fraction that is left, the deficit, is carried to the next window.  A source that
 runs out sends what it has, and the next window is shared by the others.  So what a source has sent after r windows is
@@ -10,10 +11,13 @@ into sequences of ``length`` ids: every window has the target proportions to the
 is padded.  By default weights are the sources' own tokens, so all queues end with the last window.
 
 Running sums are taken in two levels: inside blocks of bounded size, each a task's window, and over the few sums of the
-blocks; so a source with a third of all rows is many tasks.  A source's order, and with it all sums, is told by a hash.
+blocks; so a source with a third of all rows is many tasks.  Ids are written once and meet their places in a sort-merge
+join, which spills.  A row a source reaches the driver and every task, and a schedule costs the square of their number: it is
+meant for up to some thousands of sources.
 
 Defined cases: null text is an empty document (its end id alone); a null source is a queue of its own; rows that repeat
-a doc_id are packed each; an empty table gives no rows; other columns are ignored.
+a doc_id are packed each (those that repeat the text, too, are alike); a text of any length is cut into as many pieces as
+it needs, and is in memory with its ids while it is encoded; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 
 
 def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """doc_id, source, n (ids with the end id), ids (little-endian unsigned 32-bit, or 16-bit if all fit)."""
+    """doc_id, source, text_hash, n (ids with the end id), ids (little-endian unsigned 32-bit, or 16-bit if all fit)."""
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
@@ -52,10 +56,13 @@ def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
                 edges = np.concatenate([[0], np.cumsum(counts)]) * kind.itemsize
                 data = pa.py_buffer(ids.astype(kind).tobytes())
                 binary = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(edges.astype(np.int32).tobytes()), data])
-                yield pa.RecordBatch.from_arrays([batch.column(0)[here], batch.column(2)[here], pa.array(counts, pa.int64()), binary], ["doc_id", "source", "n", "ids"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[here], batch.column(2)[here], batch.column(3)[here], pa.array(counts, pa.int64()), binary], ["doc_id", "source", "text_hash", "n", "ids"]
+                )
                 at += len(counts)
 
-    return own_columns(docs, "doc_id", "text", "source").mapInArrow(run, "doc_id bigint, source string, n bigint, ids binary")
+    rows = own_columns(docs, "doc_id", "text", "source").withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return rows.mapInArrow(run, "doc_id bigint, source string, text_hash bigint, n bigint, ids binary")
 
 
 def running(rows: DataFrame, group: list[str], block: str, order: list[str], value: str, out: str, scratch: Scratch) -> DataFrame:
@@ -141,10 +148,10 @@ def queues(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     everything = Window.partitionBy()
     sources = rows.groupBy("source").agg(F.sum("n").alias("tokens"), F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block_rows)).alias("blocks"))
     sources = scratch.table(sources.withColumn("queue", F.row_number().over(everything.orderBy(F.col("source").isNull(), "source")) - 1))
-    luck = F.xxhash64("key", F.lit(5)).bitwiseAND(F.lit((1 << 32) - 1))
+    luck = F.xxhash64(F.lit(5), "doc_id", "text_hash").bitwiseAND(F.lit((1 << 32) - 1))
     of = sources.withColumnRenamed("source", "of").drop("tokens")
     queued = rows.join(of, F.col("source").eqNullSafe(F.col("of"))).withColumn("luck", luck).withColumn("block", F.floor(F.col("luck") * F.col("blocks") / (1 << 32)))
-    return running(queued, ["queue"], "block", ["luck", "key"], "n", "sent", scratch).select("key", "queue", "sent"), sources
+    return running(queued, ["queue"], "block", ["luck", "doc_id", "text_hash", "key"], "n", "sent", scratch).select("key", "queue", "sent"), sources
 
 
 def pack(docs: DataFrame, path: str, end_id: int = 1, length: int = 2048, window: int = 64, weights: dict[str | None, float] | None = None) -> DataFrame:
@@ -155,7 +162,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, length: int = 2048, window
     """
     scratch = Scratch(docs.sparkSession, "packing")
     ids = scratch.table(encoded(docs, path, end_id).withColumn("key", F.monotonically_increasing_id()))
-    place, sources = queues(ids.select("key", "source", "n"), scratch)
+    place, sources = queues(ids.select("key", "doc_id", "text_hash", "source", "n"), scratch)
     place = scratch.table(place)
     # A row a source reaches the driver and the tasks.
     by_queue = sources.orderBy("queue").collect()
@@ -181,5 +188,5 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, length: int = 2048, window
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], [c.split()[0] for c in PIECES.split(", ")])
 
-    joined = ids.select("key", "doc_id", "n", "ids").join(place.hint("shuffle_hash"), "key")
+    joined = ids.select("key", "doc_id", "n", "ids").join(place, "key")
     return scratch.keep(joined.select("doc_id", "n", "ids", "queue", "sent").mapInArrow(run, PIECES))

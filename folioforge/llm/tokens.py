@@ -6,12 +6,16 @@ pieces, one after the other.  :class:`PieceEncoder` uses that: it splits texts
 at single spaces (no piece goes over one), has the library's model encode
 every *distinct* chunk once, keeps those ids in a bounded cache and assembles
 the ids of all texts with NumPy gathers.  A text for which that split is not
-known to be the library's own (see :data:`ODD`) goes to the
-library whole, so the ids are the library's for every text.
+known to be the library's own (see :data:`ODD`), or that holds an added token's string, goes to the library whole, so the
+ids are the library's for every text.  A vocabulary file with another pre-tokenizer, a normalizer or another kind of model
+(see :func:`splits_bytewise`) has all its texts encoded whole.
+
+A text is held in memory with its ids: some twenty times its bytes while it is encoded whole, about eight times else.
 """
 
 from __future__ import annotations
 
+import json
 import re
 
 import numpy as np
@@ -40,6 +44,17 @@ def _byte_letters() -> dict[int, str]:
     return table
 
 
+def splits_bytewise(settings: dict) -> bool:
+    """Whether a vocabulary file's settings are those that PIECES stands for: byte-level pieces, merged by plain BPE."""
+    model, before = settings.get("model") or {}, settings.get("pre_tokenizer") or {}
+    return (
+        settings.get("normalizer") is None and settings.get("truncation") is None and settings.get("padding") is None
+        and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
+        and model.get("type") == "BPE"
+        and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges"))
+    )
+
+
 class _Index(dict):
     """Key -> position; a new key gets the next one and is noted."""
 
@@ -79,7 +94,9 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        settings = json.loads(self.tokenizer.to_str())
+        self.bytewise = splits_bytewise(settings)
+        self.added = [t["content"] for t in settings.get("added_tokens") or () if t["content"]]
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.max_chunks, self.slice_bytes = max_chunks, slice_bytes
@@ -110,7 +127,7 @@ class PieceEncoder:
         self.store.n = len(self.index)
 
     def _alone(self, text: str) -> np.ndarray:
-        if not PLAIN.fullmatch(text):
+        if not self.bytewise or not PLAIN.fullmatch(text) or any(t in text for t in self.added):
             return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
         return np.array([i for piece in PIECES.findall(text) for i in self._piece(piece)], np.uint32)
 
@@ -123,7 +140,9 @@ class PieceEncoder:
                 yield self._encode(pc.fill_null(texts[lo:hi], ""), end_id)
 
     def _encode(self, texts: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
-        odd = pc.match_substring_regex(texts, ODD)
+        odd = pc.match_substring_regex(texts, ODD) if self.bytewise else pa.array([True] * len(texts), pa.bool_())
+        for token in self.added if self.bytewise else ():
+            odd = pc.or_(odd, pc.match_substring(texts, token))
         lists = pc.split_pattern(pc.replace_substring(pc.if_else(odd, "", texts), " ", "\0 "), "\0")
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
         coded = lists.flatten().dictionary_encode()

@@ -25,7 +25,6 @@ def test_encoder_gives_the_librarys_ids():
     from folioforge.llm.tokens import PieceEncoder
 
     whole = Tokenizer.from_file(vocabulary())
-    whole.encode_special_tokens = True
     rng = random.Random(3)
     letters = ["a", "é", "Z", " ", " ", "\n", "\t", "  ", ".", "'", "'s", "9", "½", "日", " the", "<|endoftext|>", " ", "…", "!!", "\x00"]
     texts = ["", " ", "a", None, *("".join(rng.choices(letters, k=rng.randrange(1, 40))) for _ in range(400))]
@@ -37,6 +36,19 @@ def test_encoder_gives_the_librarys_ids():
             assert np.concatenate([n for _, n in got]).tolist() == [len(ids) + 1 for ids in expected]
 
 
+def test_other_vocabularies_are_encoded_whole():
+    from tokenizers import Tokenizer
+
+    from folioforge.llm.tokens import PieceEncoder
+
+    path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    texts = ["Hello World", "a  b", "", "x <|endoftext|> y", "12 don't"]
+    enc, whole = PieceEncoder(path), Tokenizer.from_file(path)
+    ids, counts = next(enc.encode(pa.array(texts)))
+    expected = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert not enc.bytewise and ids.tolist() == [i for x in expected for i in x] and counts.tolist() == [len(x) for x in expected]
+
+
 def test_directory_splits_until_buckets_fit():
     rng = random.Random(1)
     counts = {s: rng.randrange(40) for s in range(64)} | {5: 900}
