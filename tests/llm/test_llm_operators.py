@@ -77,6 +77,26 @@ def test_exact_dedup(awkward, empty, monkeypatch):
     assert exact_dedup.exact_groups(empty).count() == 0
 
 
+def test_exact_dedup_goes_through_its_index(small, monkeypatch):
+    made = []
+    real = exact_dedup.build_index
+
+    def emptied(*args):
+        made.append(real(*args))
+        # Without the entries of one owner, its rows find no chain.
+        return made[-1]._replace(entries=made[-1].entries.filter("owner <> 1"))
+
+    monkeypatch.setattr(exact_dedup, "build_index", emptied)
+    monkeypatch.setattr(exact_dedup.Scratch, "drop", lambda self: None)
+    got = {r["doc_id"]: r["group_size"] for r in exact_dedup.exact_groups(small, capacity=4).collect()}
+    index = made[0]
+    assert index.directory.select("bucket").distinct().count() > 16 and index.bits >= 5
+    assert index.entries.groupBy("bucket").count().agg(F.max("count")).first()[0] <= 4
+    owner = {r["doc_id"]: r["owner"] for r in index.bucket_of(small.withColumn("h", exact_dedup.index_key(F.coalesce("text", F.lit(""))))).collect()}
+    size = Counter(r["text"] or "" for r in texts(small).values())
+    assert got == {d: 1 if owner[d] == 1 else size[r["text"] or ""] for d, r in texts(small).items()} and 1 in set(owner.values())
+
+
 def test_exact_dedup_keeps_rows_whole(awkward, empty):
     kept = exact_dedup.keep_one(awkward)
     assert kept.columns == awkward.columns

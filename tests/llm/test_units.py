@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from folioforge.llm.exact_dedup import directory
+from folioforge.llm.exact_dedup import SLOT_BITS, directory
 from folioforge.llm.jaccard_join import merged, search
 from folioforge.llm.language_id import Classifier, grams, ranked
 from folioforge.llm.packing import Schedule
@@ -51,14 +51,24 @@ def test_other_vocabularies_are_encoded_whole():
 
 def test_directory_splits_until_buckets_fit():
     rng = random.Random(1)
-    counts = {s: rng.randrange(40) for s in range(64)} | {5: 900}
-    slots, n = directory(counts, 6, 100)
-    sums = Counter()
-    for slot, bucket in enumerate(slots):
-        sums[bucket] += counts.get(slot, 0)
-    assert sorted(set(slots)) == list(range(n)) and slots == sorted(slots)
-    assert all(total <= 100 for bucket, total in sums.items() if bucket != slots[5]) and slots.count(slots[5]) == 1
-    assert directory({}, 0, 1) == ([0], 1)
+    hashes = [rng.randrange(1 << 64) for _ in range(900)] + [(5 << 61) + rng.randrange(1 << 50) for _ in range(300)] + [7] * 40
+    asked = []
+
+    def count(depth, start, prefixes):
+        asked.append((depth, start))
+        return Counter(h >> (64 - depth) for h in hashes if (h >> (64 - start) if start else 0) in prefixes)
+
+    buckets = directory(count, 20, 3)
+    assert len(asked) > 2 and asked[0] == (3, 0)
+    held = Counter()
+    for h in hashes:
+        found = [(d, p) for d, p in buckets if h >> (64 - d) == p] if buckets != [(0, 0)] else buckets
+        assert len(found) == 1
+        held[found[0]] += 1
+    assert all(n <= 20 for (d, p), n in held.items() if d < SLOT_BITS)
+    # A bucket and its neighbour would not have fitted into one.
+    assert all(sum(n for (d2, p2), n in held.items() if d2 >= d and p2 >> (d2 - d + 1) == p >> 1) > 20 for d, p in buckets if d)
+    assert directory(lambda *_: {}, 1, 1) == [(0, 0)]
 
 
 def brute_links(sets, percent):
