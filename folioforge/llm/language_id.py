@@ -11,7 +11,8 @@ taken by a hash of doc_id; n-gram counts are summed by Spark, and only the profi
 language) reach the driver.
 
 Defined cases: null text, or one without a letter, is ``und`` with score 0, as is everything if no labelled row was
-there to learn from; rows that repeat are decided alike; an empty table gives no rows; other columns are ignored.
+there to learn from; rows that repeat are decided alike; a very long text is counted whole, slice by slice, and takes some
+ten times its bytes; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,26 +36,31 @@ def fold(doc_id: Column) -> Column:
 _OTHERS = re.compile(r"[\W\d_]+")
 
 
-def _letters(text: str):
-    """Lower-case code points; every run of others is one space, and there is one at each end; empty without a letter."""
-    import numpy as np
+#: Characters whose n-grams are counted at once; a longer text is counted slice by slice.
+SLICE = 1 << 20
+
 
+def _letters(text: str) -> str:
+    """Lower case; every run of others than letters is one space, and there is one at each end; empty without a letter."""
     kept = _OTHERS.sub(" ", text.lower()).strip()
-    if not any(map(str.isalpha, kept)):
-        return np.zeros(0, np.int64)
-    return np.frombuffer(f" {kept} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    return f" {kept} " if any(map(str.isalpha, kept)) else ""
 
 
 def grams(text: str):
     """(codes, counts) of the n-grams of a text; a code has 21 bits a letter, and the length above them by their number."""
     import numpy as np
 
-    p = _letters(text)
-    if len(p) < 3:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    two = (p[:-1] << 21) | p[1:]
-    three = (two[:-1] << 21) | p[2:]
-    codes, counts = np.unique(np.concatenate([p, two, three]), return_counts=True)
+    letters = _letters(text)
+    found, counted = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for lo in range(0, len(letters), SLICE):  # n-grams that begin in the slice
+        p = np.frombuffer(letters[lo : lo + SLICE + 2].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        two = (p[:-1] << 21) | p[1:]
+        three = (two[:-1] << 21) | p[2:]
+        codes, counts = np.unique(np.concatenate([p[:SLICE], two[:SLICE], three[:SLICE]]), return_counts=True)
+        found.append(codes)
+        counted.append(counts)
+    codes, at = np.unique(np.concatenate(found), return_inverse=True)
+    counts = np.bincount(at, np.concatenate(counted), len(codes)).astype(np.int64)
     blank = (codes == 32) | (codes == (32 << 21 | 32))
     return codes[~blank], counts[~blank]
 

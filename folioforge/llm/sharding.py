@@ -1,14 +1,17 @@
 """Sharding into ranges of equal bytes with sampled splitters.
 
 Documents are ordered by (hash of the text, doc_id).  A size-weighted sample of the keys (its expected size is a
-parameter) gives quantile boundaries of many small ranges; ranges found overfull, as one text may have a third of all
-rows, are subdivided by a hash of the text, and the rows of texts above ``together`` by a hash of doc_id.  One aggregate counts the bytes and rows of every range; the running sums of
-that table (at most a few thousand rows, on the driver) place each range, and a window inside a range places its rows,
-so no task ever sorts more than one small range.  A document goes to the shard in which its middle byte lies; the rows
-of one text go together, by their common middle, unless they are more than ``together`` of a shard.
+parameter) gives quantile boundaries of many small ranges, ``ranges_per_shard`` a shard and at least one for every
+``rows_per_range`` rows; ranges found overfull, as one text may have a third of all rows, are subdivided by a hash of the
+text, and the rows of texts above ``together`` by a hash of doc_id.  One aggregate counts the bytes and rows of every
+range; the running sums of that table (on the driver: two numbers for every ``rows_per_range`` rows) place each range,
+and a window inside a range places its rows, so no task sorts more than one small range.  A document goes to the shard in
+which its middle byte lies; the rows of one text go together, by their common middle, unless they are more than
+``together`` of a shard: such a text may be more than a shard, and shards stay equal only if it is cut at their ends.
 
-Defined cases: null text has size 1; rows that repeat a doc_id are placed one after the other; fewer documents than
-shards leave shards empty; an empty table gives no rows; other columns are ignored.
+Defined cases: null text has size 1; rows that repeat a doc_id are placed one after the other; a very long text is one row,
+which no law can split, and only its hashes and size are kept; fewer documents than shards leave shards empty; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,7 +48,7 @@ def splitters(rows: DataFrame, total: int, ranges: int, sample: int) -> list[int
     return sorted({r[0] for r in drawn.select("k", cell.alias("cell")).filter("cell > 0").groupBy("cell").agg(F.min("k")).select("min(k)").collect()})
 
 
-def shard_by_bytes(docs: DataFrame, shards: int = 16, max_ranges: int = 4096, rows_per_range: int = 512, sample_per_range: int = 8, together: float = 0.02) -> DataFrame:
+def shard_by_bytes(docs: DataFrame, shards: int = 16, ranges_per_shard: int = 16, rows_per_range: int = 1 << 16, sample_per_range: int = 8, together: float = 0.02) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot (gapless in the shard), grown_shard (null)."""
     scratch = Scratch(docs.sparkSession, "sharding")
     text = F.coalesce("text", F.lit(""))
@@ -55,7 +58,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, max_ranges: int = 4096, ro
         )
     )
     total, n = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
-    ranges = max(1, min(max_ranges, n // rows_per_range))
+    ranges = max(shards * ranges_per_shard, -(-n // rows_per_range))
     bounds = splitters(rows, total, ranges, ranges * sample_per_range) if total else []
     ranged = rows.withColumn("range", position(F.col("k"), literal_array(bounds, "bigint"), len(bounds)))
 

@@ -1,5 +1,6 @@
 """The ten operators on awkward rows, and against brute force on the smallest tables."""
 
+import bisect
 import hashlib
 import os
 import re
@@ -8,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from folioforge.llm import arrow_tokens, exact_dedup, jaccard_join, language_id, license_scan, mixing, packing, quality, secrets, sharding
@@ -158,6 +160,60 @@ def test_mixed_documents(awkward, empty):
 
 
 # 4
+def spark_hash(*values):
+    """Spark's xxhash64 of longs, ints (as (int,)) and texts; nulls are passed over."""
+    h = 42
+    for v in values:
+        data = v.encode() if isinstance(v, str) else v[0].to_bytes(4, "little", signed=True) if isinstance(v, tuple) else b"" if v is None else v.to_bytes(8, "little", signed=True)
+        h = h if v is None else xxhash.xxh64_intdigest(data, seed=h)
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def brute_shards(rows, shards=16):
+    """(doc_id, size, shard, slot) of rows with no text above a shard, which all go together."""
+    rows = [(d, len((t or "").encode()) + 1, spark_hash(t or "")) for d, t in rows]
+    total, n, ranges, texts_ = sum(r[1] for r in rows), len(rows), shards * 16, Counter()
+    for _, size, k in rows:
+        texts_[k] += size
+    assert max(texts_.values()) <= total / shards
+    rate = ranges * 8 / total
+    drawn = sorted((k, max(float(size), 1 / rate)) for d, size, k in rows if (spark_hash(d, k, (17,)) & ((1 << 40) - 1)) / (1 << 40) < size * rate)
+    least, weight = {}, sum(w for _, w in drawn)
+    for k, w in drawn:
+        least.setdefault(int(sum(v for key, v in drawn if (key, v) <= (k, w)) * ranges / (weight * (1 + 1e-9))), k)
+    bounds = sorted({k for cell, k in least.items() if cell > 0})
+    by = defaultdict(list)
+    for r in rows:
+        by[bisect.bisect_right(bounds, r[2])].append(r)
+    ordered, m = [], len(bounds) + 1
+    for _, some in sorted(by.items()):
+        size = sum(r[1] for r in some)
+        parts = max(1, round(size * m / total) if size > 2 * total / m else 1, round(len(some) * m / n) if len(some) > 2 * n / m else 1)
+        ordered += sorted(some, key=lambda r: (spark_hash(r[2], (29,)) % parts, r[2], r[0]))
+    at, first, found = 0, {}, []
+    for place, (d, size, k) in enumerate(ordered):
+        found.append((d, size, min(shards - 1, int((first.setdefault(k, at) + texts_[k] / 2) * shards / total)), place))
+        at += size
+    return [(d, size, s, p - min(q for _, _, s2, q in found if s2 == s)) for d, size, s, p in found]
+
+
+def test_sharding_as_a_sort_of_all_rows_gives_it(small):
+    got = sharding.shard_by_bytes(small, together=1.0).collect()
+    want = brute_shards([(d, r["text"]) for d, r in texts(small).items()])
+    assert sorted(want) == sorted((r["doc_id"], r["size"], r["shard"], r["slot"]) for r in got)
+
+
+def test_equal_texts_stay_together(spark):
+    # A third of all rows are one text; the others come in pairs and fours.
+    i = F.col("id")
+    text = F.when(i % 3 == 0, F.lit("the same text")).when(i % 2 == 0, F.concat(F.lit("pair "), F.floor(i / 12))).otherwise(F.concat(F.lit("four "), F.floor(i / 24)))
+    for n in (400, 4000):
+        df = spark.range(n).select(i.alias("doc_id"), text.alias("text"))
+        found = sharding.shard_by_bytes(df, rows_per_range=16).join(df, "doc_id").groupBy("text").agg(F.countDistinct("shard").alias("shards"), F.sum("size").alias("bytes"))
+        total = sum(r["bytes"] for r in found.collect())
+        assert not [r for r in found.collect() if r["shards"] > 1 and r["bytes"] <= 0.02 * total / 16]
+
+
 def test_sharding(awkward, empty, small, spark):
     hot = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("the same text")).otherwise(F.concat(F.lit("t"), "id")).alias("text"))
     for df, n, options in ((awkward, len(ROWS), {}), (small, small.count(), {}), (hot, 3000, {"rows_per_range": 16})):
@@ -284,6 +340,41 @@ def test_language_id(awkward, empty, small):
     assert sum(a == b for a, b, _ in held) >= 0.95 * len(held) and all(0 <= s <= 1 for _, _, s in held)
 
 
+def rank_order(rows, size=400):
+    """doc_id -> (language, score) by plain dictionaries; rows (doc_id, text, lang), all of whose labelled ones are learned from."""
+
+    def counted(text):
+        t = " " + re.sub(r"[\W\d_]+", " ", text.lower()).strip() + " "
+        return Counter(t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1) if t[i : i + n].strip()) if any(c.isalpha() for c in t) else Counter()
+
+    def code(gram):  # ties are in the order of the letters' numbers, shorter n-grams first
+        return len(gram), [ord(c) for c in gram]
+
+    def profile(counts):
+        return {g: i for i, g in enumerate(sorted(counts, key=lambda g: (-counts[g], code(g)))[:size])}
+
+    learned = defaultdict(Counter)
+    for d, t, lang in rows:
+        if lang is not None and t is not None and d is not None and zlib.crc32(str(d).encode()) % 5:
+            learned[lang] += counted(t)
+    learned = {k: profile(c) for k, c in learned.items()}
+    for d, t, _ in rows:
+        mine = profile(counted(t or ""))
+        far = sorted((sum(abs(i - p[g]) if g in p else size for g, i in mine.items()), k) for k, p in learned.items())
+        yield d, (far[0][1], 1 - far[0][0] / far[1][0] if far[1][0] else 0.0) if mine else ("und", 0.0)
+
+
+def test_language_id_as_plain_dictionaries_give_it(small, monkeypatch):
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in texts(small).values()]
+    want = dict(rank_order(rows))
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(small).collect()}
+    assert {d: x for d, (x, _) in got.items()} == {d: x for d, (x, _) in want.items()}
+    assert all(abs(got[d][1] - want[d][1]) < 1e-12 for d in want)
+    codes, counts = language_id.grams("ab c é" * 50)
+    monkeypatch.setattr(language_id, "SLICE", 7)  # in slices, the same
+    assert [x.tolist() for x in language_id.grams("ab c é" * 50)] == [codes.tolist(), counts.tolist()]
+
+
 # 7
 KEYS = ["password", "passwd", "secret", "token", "api_?key"]
 ASSIGN = re.compile("(" + "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in k) for k in KEYS) + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
