@@ -70,5 +70,40 @@ SELECT doc_id, license, n_found, CAST(n_found AS DOUBLE) / n AS containment FROM
 """
 
 
+def _op7() -> str:
+    """Spans by windows over unnested matches; entropy of every window by the library's own aggregate."""
+    from .secrets import ALLOWED, CLASSES, FILLERS
+
+    either = lambda words: "(" + "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in words) + ")"
+    keys = either(("password", "passwd", "secret", "token", "api_?key"))
+    value = r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+    masked = "t"
+    for n in sorted({len(f) for f in FILLERS}, reverse=True):
+        masked = f"regexp_replace({masked}, '{either([f for f in FILLERS if len(f) == n])}', '{' ' * n}', 'g')"
+    kinds = [("assign", f"{keys}{value}", "t", f"length(regexp_extract(hit, '{keys}{value}', 2)) >= 12"), ("access", "AKIA[A-Z0-9]+", "t", "length(hit) >= 18"), ("hex", "[0-9a-f]+", "t", "length(hit) >= 16")]
+    kinds += [(c.kind, c.pattern, "m", f"NOT regexp_matches(hit, '{ALLOWED}')") for c in CLASSES]
+    found = " UNION ALL ".join(
+        f"""SELECT k, '{kind}' AS kind, {rank} AS rank, before + len_part AS start_, before + len_part + length(hit) AS end_, hit FROM (
+          SELECT k, hit, length(part) AS len_part, coalesce(sum(length(part) + length(hit)) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (
+            SELECT k, unnest(hits) AS hit, unnest(parts[:len(hits)]) AS part, unnest(range(len(hits))) AS i FROM (
+              SELECT k, regexp_extract_all({of}, '{pattern}') AS hits, regexp_split_to_array({of}, '{pattern}') AS parts FROM d WHERE regexp_matches({of}, '{pattern}')))) WHERE {fits}"""
+        for rank, (kind, pattern, of, fits) in enumerate(kinds)
+    )
+    window = "CASE kind " + " ".join(f"WHEN '{c.kind}' THEN {c.window}" for c in CLASSES) + " END"
+    least = "CASE kind " + " ".join(f"WHEN '{c.kind}' THEN {c.threshold}" for c in CLASSES) + " END"
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents), d AS (SELECT k, doc_id, t, {masked} AS m FROM t),
+found AS ({found}),
+windows AS (SELECT k, kind, rank, start_, i, list_aggregate(string_split(substr(hit, CAST(i + 1 AS BIGINT), w), ''), 'entropy') >= {least} AS hot, w
+  FROM (SELECT *, {window} AS w, unnest(range(length(hit) - {window} + 1)) AS i FROM found WHERE rank >= 3)),
+spans AS (SELECT k, kind, rank, start_, end_ FROM found WHERE rank < 3
+  UNION ALL SELECT k, kind, rank, start_ + min(i), start_ + max(i) + any_value(w) FROM windows WHERE hot GROUP BY k, kind, rank, start_),
+line AS (SELECT k, rank, start_, end_, concat_ws(':', kind, CAST(start_ AS BIGINT), CAST(end_ AS BIGINT)) AS s FROM spans)
+SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+  sha256(coalesce(string_agg(s, ',' ORDER BY start_, rank, end_) FILTER (rank < 3), '')) AS base_sha256, coalesce(string_agg(s, ',' ORDER BY start_, rank, end_), '') AS spans
+FROM d LEFT JOIN line USING (k) GROUP BY k, doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": _op1(), "op3_mix_sources": OP3, "op6_quality_ledger": OP6, "op8_exact_dedup": OP8}
+    return {"op1_license_scan": _op1(), "op3_mix_sources": OP3, "op6_quality_ledger": OP6, "op7_secret_scan": _op7(), "op8_exact_dedup": OP8}
