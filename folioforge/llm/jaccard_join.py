@@ -10,16 +10,20 @@ between different sets is lost:
 2. Documents with equal sets are one class.  The classes that are left meet in lists by the shingles of their
    first p; lists are joined to their least member only (a star, not all pairs), and components of these stars are the
    candidates: groups of classes outside of which none has a link.
-3. A group's sets go to tasks of bounded size: a group of more than GROUP_ROWS classes (or GROUP_SHINGLES shingles) is
-   dealt into blocks, and every pair of blocks is a task.  In a task, classes are taken by growing size and each is
-   searched in the index of those before it: a link needs T shared shingles, so what occurs in fewer than T - L of the
-   lists but the L longest can't be one (DivideSkip); the short lists are merged by a heap, the long ones probed by
-   binary search.  Only links between components not yet joined are looked for, so a task's result is a forest.
-4. Components of all links, with the classes' rows, are the result.
+3. A group's sets go to tasks of bounded size.  A group of more rows than a task's share of all (see :func:`group_links`) is
+   cut into units: sets of like size (linked sets are at most one band of sizes apart) dealt by a hash.  Three rounds of
+   searches find its links: inside every unit; inside units dealt anew, over two bands; and between units, but only what
+   these two rounds left apart: the rows that are outside the group's largest component are searched against every unit
+   within one band.  So the copies of a hot text cost each row two searches, however many they are, and only rows that are
+   no such copies meet all others of their size.
+4. A search (:func:`search`) takes sets by growing size.  A link needs T shared shingles, so what occurs in fewer than
+   T - L of the lists but the L longest can't be one (DivideSkip); the short lists are merged by a heap, the long ones
+   probed by binary search.  Only links between components not yet joined are looked for, so the result is a forest.
+5. Components of all links, with the classes' rows, are the result.
 
 Defined cases: a text of fewer words than a shingle is one shingle; null or blank texts have none and link with nothing;
-rows that repeat a doc_id are rows of their own; null doc_ids link, too, and come last among the ids of a component;
-an empty table gives no rows; other columns are ignored.
+rows that repeat a doc_id are rows of their own; null doc_ids link, too, and come last among the ids of a component; a very
+long text is shingled whole, in memory with eight bytes a word; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +38,8 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, Scratch, connected_components, drop_rows, own_columns, ship_package, small
 
-GROUP_ROWS, GROUP_SHINGLES = 2000, 4_000_000
+#: Rows and shingles that a unit has at most, about, and rows that one has at least.
+UNIT_ROWS, UNIT_SHINGLES, LEAST_ROWS = 2000, 4_000_000, 64
 #: DivideSkip's weight of a probe against a step of the merge.
 MU = 0.0085
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -56,84 +61,77 @@ def least_overlap(n: Column, percent: int) -> Column:
     return F.ceil(n * percent / 100)
 
 
-def search(ids, sets, blocks, percent: int) -> list[tuple[int, int]]:
-    """Links of a forest that joins what the links of the group join; sets: sorted arrays; cross-block pairs only if
-    blocks differ."""
+def search(ids, sets, percent: int, labels=None, sides=None) -> list[tuple[int, int]]:
+    """Links of a forest that joins what the links of the sets (sorted arrays) join.
+
+    labels: components known so far; links inside them aren't looked for.  sides: 0 for sets that are indexed, 1 for those
+    that are searched for; if not given, every set is searched among the smaller ones.
+    """
     import numpy as np
 
     m = len(ids)
     sizes = np.fromiter(map(len, sets), np.int64, m)
     order = np.lexsort((ids, sizes))
-    ids, sizes, blocks = ids[order], sizes[order], blocks[order]
-    values = np.concatenate([sets[i] for i in order])
-    position = np.repeat(np.arange(m), sizes)
-    _, token = np.unique(values, return_inverse=True)
-    postings = np.sort(token.astype(np.int64) * m + position)  # list by list, members in order of size
-    edges = np.concatenate([[0], np.cumsum(sizes)])
-    cross = blocks.min() != blocks.max()
-    label = np.arange(m)
+    ids, sizes, sets = ids[order], sizes[order], [sets[i] for i in order]
+    label = np.arange(m) if labels is None else np.unique(labels[order], return_inverse=True)[1]
+    indexed = np.arange(m) if sides is None else np.flatnonzero(sides[order] == 0)
+    queries = range(1, m) if sides is None else np.flatnonzero(sides[order] == 1).tolist()
+    k = len(indexed)
+    if not k or not queries:
+        return []
+    known, token = np.unique(np.concatenate([sets[i] for i in indexed]), return_inverse=True)
+    # List by list, members by their places in order of size.
+    postings = np.sort(token.astype(np.int64) * k + np.repeat(np.arange(k), sizes[indexed]))
+    size = sizes[indexed]
     links: list[tuple[int, int]] = []
 
     def shared(tokens, y: int) -> int:
         """How many of the tokens' lists hold y, by binary probes."""
-        keys = tokens * m + y
+        keys = tokens * k + y
         at = np.searchsorted(postings, keys)
         return int((postings[np.minimum(at, len(postings) - 1)] == keys).sum())
 
-    def join(x: int, y: int) -> None:
-        links.append((int(ids[x]), int(ids[y])))
-        label[label == label[y]] = label[x]
-
-    def enough(x: int, y: int, n: int) -> bool:
-        return (100 + percent) * n >= percent * int(sizes[x] + sizes[y])
-
-    for x in range(1, m):
+    for x in queries:
         n = int(sizes[x])
-        low = int(np.searchsorted(sizes, -(-n * percent // 100)))
-        if low >= x:
+        need = -(-n * percent // 100)
+        low = int(np.searchsorted(size, need))
+        high = x if sides is None else int(np.searchsorted(size, n * 100 // percent, "right"))
+        if low >= high or (label[indexed[low:high]] == label[x]).all():
             continue
-        mine = token[edges[x] : edges[x + 1]].astype(np.int64)
-        # The latest members of the components in reach are tried at once; as a rule that leaves nothing to look for.
-        tried: set[int] = set()
-        for y in range(x - 1, max(low, x - 9) - 1, -1):
-            if label[y] != label[x] and int(label[y]) not in tried and not (cross and blocks[x] == blocks[y]):
-                tried.add(int(label[y]))
-                if enough(x, y, shared(mine, y)):
-                    join(x, y)
-        if (label[low:x] == label[x]).all():
+        at = np.searchsorted(known, sets[x])
+        mine = at[known[np.minimum(at, len(known) - 1)] == sets[x]]
+        if len(mine) < need:
             continue
-        need = -(-n * percent // 100)
-        first, last = np.searchsorted(postings, mine * m + low), np.searchsorted(postings, mine * m + x)
+        first, last = np.searchsorted(postings, mine * k + low), np.searchsorted(postings, mine * k + high)
         length = last - first
         by = np.argsort(length, kind="stable")
         longest = max(1, int(length[by[-1]]))
         n_long = min(need - 1, int(need / (MU * math.log2(longest + 1) + 1)))
-        short, long_ = by[: n - n_long], mine[by[n - n_long :]]
-        for y, n_short in merged([postings[first[i] : last[i]] - mine[i] * m for i in short if length[i]], need - n_long):
-            if label[y] == label[x] or (cross and blocks[x] == blocks[y]):
-                continue
-            if enough(x, y, n_short + shared(long_, y)):
-                join(x, y)
+        short, long_ = by[: len(mine) - n_long], mine[by[len(mine) - n_long :]]
+        lists, after = [postings[first[i] : last[i]] - mine[i] * k for i in short if length[i]], -1
+        while after is not None:  # once for each component that x joins
+            lists = [rest for rows in lists if len(rest := rows[(rows > after) & (label[indexed[rows]] != label[x])])]
+            after = None
+            for y, n_short in merged(lists, need - n_long):
+                if (100 + percent) * (n_short + shared(long_, y)) >= percent * (n + int(size[y])):
+                    links.append((int(ids[x]), int(ids[indexed[y]])))
+                    label[label == label[indexed[y]]] = label[x]
+                    after = y
+                    break
     return links
 
 
 def merged(lists: list, least: int) -> Iterable[tuple[int, int]]:
-    """(member, lists that hold it) for the members of at least ``least`` of the sorted lists."""
-    import numpy as np
-
-    if sum(map(len, lists)) <= 4096:
-        for y, same in itertools.groupby(heapq.merge(*(x.tolist() for x in lists))):
-            if (n := sum(1 for _ in same)) >= least:
-                yield y, n
-    elif lists:  # long runs: the same merge, by a stable sort that merges sorted runs
-        members, counts = np.unique(np.sort(np.concatenate(lists), kind="stable"), return_counts=True)
-        for y, n in zip(members[counts >= least].tolist(), counts[counts >= least].tolist(), strict=True):
+    """(member, lists that hold it) for the members of at least ``least`` of the sorted lists, by a heap of their heads."""
+    for y, same in itertools.groupby(heapq.merge(*(map(int, x) for x in lists))):
+        if (n := sum(1 for _ in same)) >= least:
             yield y, n
 
 
-def _links(groups: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of groups (root, i, j, block, node, shingles), searched group by group."""
-    ship_package(groups.sparkSession)
+def _links(tasks: DataFrame, percent: int) -> DataFrame:
+    """(root, a, b) of tasks' rows (root, i, j, side, node, label, shingles), searched task by task; side is null for
+    searches of all rows among each other."""
+    ship_package(tasks.sparkSession)
 
     def run(table):
         import numpy as np
@@ -144,10 +142,53 @@ def _links(groups: DataFrame, percent: int) -> DataFrame:
         column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
         offsets, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
         sets = [values[a:b] for a, b in itertools.pairwise(offsets)]
-        found = search(table.column("node").to_numpy(), sets, table.column("block").to_numpy(), percent)
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
-
-    return groups.groupBy("root", "i", "j").applyInArrow(run, "a bigint, b bigint")
+        sides = None if table.column("side").null_count else table.column("side").to_numpy()
+        found = search(table.column("node").to_numpy(), sets, percent, table.column("label").to_numpy(), sides)
+        a, b = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.table({"root": pa.array([table.column("root")[0].as_py()] * len(a), pa.int64()), "a": pa.array(a), "b": pa.array(b)})
+
+    return tasks.groupBy("root", "i", "j").applyInArrow(run, "root bigint, a bigint, b bigint")
+
+
+def unit(rows: DataFrame, group: list[str], seed: int, unit_rows: int, name: str) -> DataFrame:
+    """Adds name: a unit's number inside the group, of parts of about unit_rows rows, dealt by a hash of the node."""
+    parts = rows.groupBy(*group).agg(F.greatest(F.ceil(F.count(F.lit(1)) / unit_rows), F.ceil(F.sum("n") / UNIT_SHINGLES)).alias("parts"))
+    return rows.join(small(parts, 48), group).withColumn(name, F.pmod(F.xxhash64("node", F.lit(seed)), F.col("parts"))).drop("parts")
+
+
+def group_links(members: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(root, a, b): links that join what the links inside the groups join, of members (root, node, n, shingles)."""
+    share = members.count() // (4 * int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    unit_rows = min(UNIT_ROWS, max(LEAST_ROWS, share))
+    # Groups of several units: no more of them than units.
+    large = members.groupBy("root").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles")).filter((F.col("rows") > unit_rows) | (F.col("shingles") > UNIT_SHINGLES))
+    large = small(scratch.table(large.select("root")), 16)
+    alone = F.lit(None).cast("int").alias("side")
+    whole = members.join(large, "root", "left_anti").select("root", F.lit(0).alias("i"), F.lit(0).alias("j"), alone, "node", F.col("node").alias("label"), "shingles")
+    links = scratch.table(_links(whole, percent))
+    # A band's sizes are within a factor of 100 / percent; the margin is for sizes at the bound.
+    band = F.floor(F.log(F.col("n")) / (math.log(100 / percent) * (1 + 1e-9)))
+    cut = members.join(large, "root", "left_semi").withColumn("band", band).withColumn("two", F.floor((F.col("band") + 1) / 2))
+    if cut.isEmpty():
+        return links
+    cut = scratch.table(unit(unit(cut, ["root", "band"], 3, unit_rows, "part"), ["root", "two"], 7, unit_rows, "again"))
+    for at, part in (("band", "part"), ("two", "again")):
+        links = links.unionByName(scratch.table(_links(cut.select("root", F.col(at).alias("i"), F.col(part).alias("j"), alone, "node", F.col("node").alias("label"), "shingles"), percent)))
+
+    # What is still apart: all but each group's largest component.
+    found = connected_components(links.join(large, "root", "left_semi").select("a", "b"), scratch).withColumnRenamed("root", "label")
+    labelled = cut.join(found, "node", "left").withColumn("label", F.coalesce("label", "node")).withColumn("unit", F.struct("band", "part"))
+    sizes = labelled.groupBy("root", "label").agg(F.count(F.lit(1)).alias("rows"))
+    largest = sizes.groupBy("root").agg(F.max(F.struct("rows", "label"))["label"].alias("largest"))
+    labelled = scratch.table(labelled.join(small(largest, 32), "root").withColumn("rest", F.col("label") != F.col("largest")).select("root", "unit", "node", "label", "rest", "shingles"))
+    units = labelled.groupBy("root", "unit").agg(F.bool_or("rest").alias("has_rest")).select(F.col("root").alias("of"), F.col("unit").alias("other"), "has_rest")
+    units = small(scratch.table(units), 48)
+    near = (F.col("root") == F.col("of")) & (F.abs(F.col("unit.band") - F.col("other.band")) <= 1) & (F.col("unit") != F.col("other"))
+    row = ["root", "node", "label", "shingles"]
+    rest = labelled.filter("rest").join(units, near).select(*row, F.col("unit").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"))
+    # Two units' rests meet once.
+    sought = labelled.join(units.filter("has_rest"), near & (~F.col("rest") | (F.col("other") < F.col("unit")))).select(*row, F.col("other").alias("i"), F.col("unit").alias("j"), F.lit(1).alias("side"))
+    return links.unionByName(scratch.table(_links(rest.unionByName(sought), percent)))
 
 
 def near_groups(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
@@ -184,18 +225,13 @@ def near_groups(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame
     edges = lists.join(stars, "h").filter("rid > least").select(F.col("rid").alias("a"), F.col("least").alias("b")).distinct()
     members = connected_components(edges, scratch)
 
-    # 3. The sets of the members, read again, to the tasks of their groups.
-    members = members.join(classes.select("node", "d1", "d2", "n", F.col("lowest.doc_id").alias("doc_id")), "node")
-    many = members.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_ROWS), F.ceil(F.sum("n") / GROUP_SHINGLES)).cast("int").alias("blocks"))
-    members = scratch.table(members.join(many, "root"))
+    # 3. The sets of the members, read again, and their links.
+    members = scratch.table(members.join(classes.select("node", "d1", "d2", "n", F.col("lowest.doc_id").alias("doc_id")), "node"))
     wanted = small(members.select("doc_id").distinct(), 24)
     again = base.join(wanted, base["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi").select(shingle_set(F.col("text"), words).alias("shingles"))
     again = again.select(F.xxhash64(F.lit(1), "shingles").alias("d1"), F.xxhash64(F.lit(2), "shingles").alias("d2"), "shingles")
-    again = again.join(members.drop("doc_id"), ["d1", "d2"]).dropDuplicates(["node"])
-    block = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
-    dealt = again.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "shingles")
-    links = scratch.table(_links(dealt, percent))
+    again = scratch.table(again.join(members.drop("doc_id"), ["d1", "d2"]).dropDuplicates(["node"]).select("root", "node", "n", "shingles"))
+    links = group_links(again, percent, scratch).select("a", "b")
 
     # 4. Components of the links, and of rows with equal sets.
     joined = classes.join(connected_components(links, scratch), "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -531,7 +531,8 @@ def test_jaccard_join(awkward, empty, small, spark, monkeypatch, n, percent):
     for k, (df, rows) in enumerate(cases):
         want, count = components(rows, n, percent)
         if k == 0:
-            monkeypatch.setattr(jaccard_join, "GROUP_ROWS", 4)  # several blocks a group
+            monkeypatch.setattr(jaccard_join, "LEAST_ROWS", 3)  # several units a group
+            monkeypatch.setattr(jaccard_join, "UNIT_ROWS", 3)
         got = jaccard_join.near_groups(df, n, percent).collect()
         monkeypatch.undo()
         assert sorted(map(str, ((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got))) == sorted(map(str, want))

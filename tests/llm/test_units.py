@@ -104,18 +104,16 @@ def test_search_joins_what_all_pairs_join(seed):
     arrays = [np.array(sorted(s), np.int64) for s in sets]
     ids = np.arange(len(sets))
     for percent in (80, 85):
-        expected = roots(len(sets), brute_links(sets, percent))
-        assert roots(len(sets), search(ids, arrays, np.zeros(len(sets), int), percent)) == expected
-        # Dealt into blocks, the links of all pairs of blocks join the same.
-        block = np.array([rng.randrange(3) for _ in sets])
-        links = []
-        for i in range(3):
-            for j in range(i, 3):
-                here = np.flatnonzero((block == i) | (block == j))
-                if len(here):
-                    links += search(ids[here], [arrays[k] for k in here], block[here], percent)
-        assert roots(len(sets), links) == expected
-        assert {tuple(sorted(x, reverse=True)) for x in links} <= brute_links(sets, percent)
+        links = brute_links(sets, percent)
+        found = search(ids, arrays, percent)
+        assert roots(len(sets), found) == roots(len(sets), links) and {tuple(sorted(x, reverse=True)) for x in found} <= links
+        # Two sides: what links across them join, given what is joined already.
+        side = np.array([rng.randrange(2) for _ in sets])
+        label = np.array(roots(len(sets), [x for x in links if side[x[0]] == side[x[1]]]))
+        found = search(ids, arrays, percent, label, side)
+        assert all(side[a] != side[b] for a, b in found) and {tuple(sorted(x, reverse=True)) for x in found} <= links
+        known = [(i, int(r)) for i, r in enumerate(label)]
+        assert roots(len(sets), found + known) == roots(len(sets), links)
 
 
 def test_merged_counts():
