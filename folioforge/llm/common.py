@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -21,9 +22,12 @@ BROADCAST_BYTES = 32 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (only where it is unset) an own one."""
+    """The folder that driver and executors share: spark.checkpoint.dir.  Where it is unset, a session in one process (as in
+    tests) gets a folder of its own; on a cluster that is an error, as no local folder would be shared."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="folioforge-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
@@ -45,7 +49,8 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def keep(self, df: DataFrame) -> DataFrame:
-        """The final rows, as a checkpoint (Spark deletes its files once nothing refers to it); drops the scratch tables."""
+        """The final rows, as a checkpoint; drops the scratch tables.  The checkpoint's files stay until the shared folder is
+        emptied, or, with spark.cleaner.referenceTracking.cleanCheckpoints, until nothing refers to the rows any more."""
         kept = df.checkpoint()
         self.drop()
         return kept
@@ -79,6 +84,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """The name, longer by underscores until the rows have no such column."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def own_columns(docs: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that extra ones can't clash; missing ones are null."""
     kinds = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string"}

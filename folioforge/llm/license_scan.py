@@ -4,15 +4,18 @@ Texts and templates are read as 5-word shingles (64-bit hashes of lower-case let
 into segments of at most SEGMENT shingles; the bands of a segment are MinHashes of its shingles, and those of a text are
 MinHashes of every window (one starts at each shingle) of a segment's length.  A window that equals a segment collides
 in every band.  A text that holds at least 80 % of a template's T shingles misses at most T / 5 of them, which is less
-than the number of segments for every T, so one segment at least is whole and, standing in one place in the text,
-collides with certainty; other windows collide in a band with the Jaccard similarity to the power BAND_ROWS.
+than the number of segments for every T, so one segment's shingles are all in the text; where they stand in one place, as
+they do unless the text is taken apart, they collide with certainty.  Other windows collide in a band with the Jaccard
+similarity of window and segment to the power BAND_ROWS, as each MinHash is the least value of a mixing hash.
 
 A window can only collide if it holds a segment's least shingle, so only texts with one of those have their windows
-banded.  Retrieved templates are verified by the exact share of their distinct shingles in the text.  All of it is
-expressions on a row and a join to the templates' bands, a table of fixed size: no shuffle, no Python.
+banded.  The templates of the keys found are looked up by binary search; their shingles come from a table of a row a template,
+broadcast if its counted size allows; templates are verified by the exact share of their distinct shingles in the text.
+All of it is expressions on a row and that join: no Python, and no shuffle unless the templates are too large for a broadcast.
 
 Defined cases: null or short texts (under five words) have no matches; a license found in several places is one row;
-rows that repeat a doc_id have their own rows; an empty table gives no rows; other columns are ignored.
+rows that repeat a doc_id have their own rows; a very long text is scanned whole, in memory with eight bytes a word; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,11 +27,12 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import literal_array, own_columns
+from .common import BROADCAST_BYTES, literal_array, own_columns
+from .sharding import position
 
 SHINGLE, SEGMENT, BANDS, BAND_ROWS = 5, 4, 2, 2
-#: Values that the shingle hashes are combined with, one a MinHash: the least result is a hash's choice.
-SEEDS = (0x1B873593CC9E2D51, 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D, 0x14057B7EF767814F)
+#: Seeds of the MinHashes: the least hash of (seed, shingle) is a MinHash's choice.
+SEEDS = tuple(range(101, 101 + BANDS * BAND_ROWS))
 
 # Whole texts (in licenses/), notices and short wordings. Templates of different licenses stay below the
 # containment of 0.8 in each other's texts: where whole texts or notices share more (BSD, ISC, MIT and MIT-0, GPL-3.0 and AGPL-3.0,
@@ -104,7 +108,7 @@ def _band(window: Column, length: int, band: int) -> Column:
 
 
 def _least(window: Column, seed: int) -> Column:
-    return F.array_min(F.transform(window, lambda h: h.bitwiseXOR(F.lit(seed))))
+    return F.array_min(F.transform(window, lambda h: F.xxhash64(F.lit(seed), h)))
 
 
 def _window_keys(hashes: Column, length: int) -> Column:
@@ -127,7 +131,8 @@ def template_bands(spark: SparkSession, wanted: Mapping[str, list[int]]) -> Data
     key = F.lit(None).cast("array<bigint>")
     for n in range(1, SEGMENT + 1):
         key = F.when(F.size("segment") == n, F.array(*(_band(F.col("segment"), n, b) for b in range(BANDS)))).otherwise(key)
-    return spark.range(1).select(rows).withColumn("keys", key)
+    chosen = F.array(*(F.array_min(F.transform("segment", lambda h: F.struct(F.xxhash64(F.lit(s), h).alias("hash"), h.alias("h"))))["h"] for s in SEEDS))  # noqa: B023
+    return spark.range(1).select(rows).withColumn("keys", key).withColumn("least", chosen)
 
 
 def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, containment: float = 0.8) -> DataFrame:
@@ -135,32 +140,29 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, containment:
     spark = docs.sparkSession
     shingled = template_shingles(spark, templates)
     found = template_bands(spark, shingled).collect()  # a row for every SEGMENT shingles of a template
-    least = sorted({_chosen(r["segment"], s) for r in found for s in SEEDS[: BANDS * BAND_ROWS]})
-    keys = {n: sorted({k for r in found if len(r["segment"]) == n for k in r["keys"]}) for n in range(1, SEGMENT + 1)}
-    constant = lambda values: literal_array(values, "bigint")
+    least = sorted({x for r in found for x in r["least"]})
+    # Every (key, template) in order of the keys, so that a key's templates stand together.
+    numbers = {name: i for i, name in enumerate(shingled)}
+    of_key = sorted({(k, numbers[r["license"]]) for r in found for k in r["keys"]})
+    keys, owners = literal_array([k for k, _ in of_key], "bigint"), literal_array([i for _, i in of_key], "int")
+    lengths = sorted({len(r["segment"]) for r in found})
 
     rows = own_columns(docs, "doc_id", "text").select("doc_id", shingles(F.col("text")).alias("all"))
     # A set of constants: the work of a text goes with its own shingles, not with the templates'.
     rows = rows.filter(F.expr(f"exists(all, h -> h in ({', '.join(f'{x}L' for x in least)}))") if least else F.lit(False))
-    hits = [F.array_intersect(_window_keys(F.col("all"), n), constant(ks)) for n, ks in keys.items() if ks]
-    collided = rows.withColumn("hits", F.array_distinct(F.concat(*hits)))
-    # Retrieved templates are those with a key among the row's; their table has a few rows, fixed with the templates.
-    of = {name: set() for name in shingled}
-    for r in found:
-        of[r["license"]].update(r["keys"])
-    wanted = {name: (list(dict.fromkeys(all_)), sorted(of[name])) for name, all_ in shingled.items()}
-    retrieved = F.array(
-        *(F.when(F.arrays_overlap("hits", constant(ks)), F.struct(F.lit(name).alias("license"), constant(w).alias("wanted"))) for name, (w, ks) in wanted.items())
-    )
-    each = collided.select("doc_id", "all", F.explode(F.filter(retrieved, lambda r: r.isNotNull())).alias("r"))
-    n_found = F.size(F.array_intersect("r.wanted", "all"))
+    banded = rows.withColumn("keys", F.array_distinct(F.flatten(F.array(*(_window_keys(F.col("all"), n) for n in lengths)))) if lengths else F.array().cast("array<bigint>"))
+
+    def templates_of(key: Column) -> Column:
+        end = position(key, keys, len(of_key))
+        begin = position(key - 1, keys, len(of_key))
+        return F.slice(owners, begin + 1, end - begin)
+
+    each = banded.select("doc_id", "all", F.explode(F.array_distinct(F.flatten(F.transform("keys", templates_of)))).alias("number"))
+    wanted = [{"of": i, "license": name, "wanted": list(dict.fromkeys(shingled[name]))} for name, i in numbers.items()]
+    table = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(wanted)), "array<struct<of:int,license:string,wanted:array<bigint>>>")))
+    table = F.broadcast(table) if sum(64 + 8 * len(w["wanted"]) for w in wanted) <= BROADCAST_BYTES else table
+    n_found = F.size(F.array_intersect("wanted", "all"))
     return (
-        each.select("doc_id", F.col("r.license").alias("license"), n_found.cast("long").alias("n_found"), (n_found / F.size("r.wanted")).alias("containment"))
+        each.join(table, F.col("number") == F.col("of")).select("doc_id", "license", n_found.cast("long").alias("n_found"), (n_found / F.size("wanted")).alias("containment"))
         .filter(F.col("containment") >= containment)
     )
-
-
-def _chosen(segment: list[int], seed: int) -> int:
-    """The shingle that a MinHash chooses of a segment (array_min of the signed combined values)."""
-    wrap = lambda x: (x + (1 << 63)) % (1 << 64) - (1 << 63)
-    return min(segment, key=lambda h: wrap(h ^ seed))

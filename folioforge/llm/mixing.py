@@ -9,7 +9,9 @@ which have at most 4096 rows a source; a source with a third of all rows is pre-
 A source whose target exceeds its size is taken whole once or more, and by threshold once more for the rest.
 
 Defined cases: null text has size 0; a null source is a source of its own, last in order; null doc_ids share one
-hash; rows that repeat a doc_id are decided alike; an empty table gives no rows; other columns are ignored.
+hash; rows that repeat a doc_id are decided alike; a very long text is one row, taken or not; an empty table gives no rows;
+other columns are ignored, and kept as they are by mixed_documents.  A row a source passes through windows without a key and
+through one broadcast or join: it is meant for up to some hundred thousands of sources.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, own_columns, small, word_count
+from .common import Scratch, own_columns, small, unused, word_count
 
 BITS, LEVELS, HASH_BITS = 12, 4, 60
 
@@ -107,11 +109,12 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: in
     plan = scratch.keep(plan.select("of", "epochs", "rest", "prefix", "level_in"))
     source = docs["source"] if "source" in docs.columns else F.lit(None).cast("string")
     key = docs["doc_id"] if "doc_id" in docs.columns else F.lit(None).cast("bigint")
-    # Prefixed, so that columns of the documents can't clash with the plan's.
-    plan = plan.select(*(F.col(c).alias(f"__plan_{c}") for c in plan.columns))
+    # Under names that the documents don't have.
+    names = {c: unused(docs, f"plan_{c}") for c in plan.columns}
+    plan = plan.withColumnsRenamed(names)
     first = F.shiftright(document_hash(key), HASH_BITS - BITS * LEVELS)
-    p = lambda c: F.col(f"__plan_{c}")
+    p = lambda c: F.col(names[c])
     copies = p("epochs") + ((p("rest") > 0) & ((first < p("prefix")) | ((first == p("prefix")) & p("level_in")))).cast("int")
-    joined = docs.join(small(plan, 64), source.eqNullSafe(p("of"))).withColumn("__copies", copies).filter("__copies > 0")
-    repeated = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return repeated.select(*(F.col(f"`{c}`") for c in docs.columns))
+    joined = docs.join(small(plan, 64), source.eqNullSafe(p("of"))).filter(copies > 0)
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return joined.select(*own, F.explode(F.sequence(F.lit(1), copies)).alias(unused(docs, "copy"))).select(*own)

@@ -52,7 +52,11 @@ m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_str
   FROM w JOIN l USING (k) LEFT JOIN covered USING (k)),
 b AS (SELECT *, CAST((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT + 4 * (word_chars < 2 * n_words)::INT + 8 * (word_chars > 14 * n_words)::INT
   + 16 * (10 * n_symbols > 6 * n_words)::INT + 32 * (n_dup_lines >= 3 AND 8 * n_dup_lines > n_words)::INT AS BIGINT) AS fail_bits FROM m)
-SELECT *, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, 'v1' AS policy FROM b
+SELECT *, 1 AS rules_version, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, 'v1' AS policy FROM b
+"""
+ABLATION = f"""
+SELECT rule, count(*) FILTER (fail_bits & bit <> 0) AS fails, count(*) FILTER (fail_bits = bit) AS fails_alone
+FROM ({OP6}), (VALUES ('too_few_words', 1), ('repeated_windows', 2), ('short_words', 4), ('long_words', 8), ('symbols', 16), ('duplicate_lines', 32)) r(rule, bit) GROUP BY rule
 """
 
 
@@ -106,4 +110,4 @@ FROM d LEFT JOIN line USING (k) GROUP BY k, doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": _op1(), "op3_mix_sources": OP3, "op6_quality_ledger": OP6, "op7_secret_scan": _op7(), "op8_exact_dedup": OP8}
+    return {"op1_license_scan": _op1(), "op3_mix_sources": OP3, "op6_quality_ledger": OP6, "op7_secret_scan": _op7(), "op8_exact_dedup": OP8, "quality_ablation": ABLATION}

@@ -1,29 +1,33 @@
 """Quality rules as a bitmask ledger.
 
-Every text is measured once; every rule is evaluated once on the measurements and leaves a bit.  Policies are versioned
-sets of rules: a verdict is one bitwise AND of the ledger with the policy's mask, so a new policy or an ablation needs
-no second look at any text.  :func:`ablation` counts, for every rule, what it fails and what it alone fails, from the
+Every text is measured once; every rule is evaluated once on the measurements and leaves a bit.  The ledger, measurements
+and bits with the version of the rules, is a table (:func:`store`, :func:`stored`).  Policies are versioned sets of rules: a
+verdict is one bitwise AND of the stored ledger with the policy's mask, so a new policy or an ablation needs no second look
+at any text.  :func:`ablation` counts, for every rule, what it fails and what it alone fails, from the
 histogram of the bit patterns.
 
 Measurements need the words of a text and its repeated 8-word windows; they are taken in Arrow batches, a document at a
-time.  Defined cases: null text has no words; repeated rows are measured alike; an empty table gives no rows; other
-columns are ignored.
+time.  Windows are told apart exactly, by ranks of pairs of words, of pairs of these and so on.  Defined cases: null text has
+no words; repeated rows are measured alike; a very long text is measured whole, in some hundred bytes a word; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import own_columns, ship_package
+from .common import Scratch, own_columns, ship_package
 
 WINDOW = 8
 # The characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
 MEASURES = "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
 
+#: Version of RULES, which goes with every row of a ledger.
+RULES_VERSION = 1
 #: Rule name -> failing condition on the measurements; a rule's bit is its place here, and new rules are appended.
 RULES = {
     "too_few_words": "n_words < 20",
@@ -49,16 +53,19 @@ def measure_text(text: str) -> tuple[int, int, int, int, int]:
     symbols = len(data) - len(data.translate(None, SYMBOLS.encode()))
     lines = [x for x in data.split(b"\n") if x.split(None, 1)]
     repeated = 0
-    windows = list(zip(*(words[i:] for i in range(WINDOW)), strict=False))
-    if len(set(windows)) < len(windows):
-        count: dict[tuple, int] = {}
-        for w in windows:
-            count[w] = count.get(w, 0) + 1
-        end = 0  # words before it are counted
-        for i, w in enumerate(windows):
-            if count[w] > 1:
-                repeated += i + WINDOW - max(end, i)
-                end = i + WINDOW
+    if n >= WINDOW:
+        import numpy as np
+
+        number: dict[bytes, int] = {}
+        rank = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, n)
+        kinds = len(number)
+        for step in (1, 2, 4):  # ranks of two words, of four, of eight
+            rank = np.unique(rank[:-step] * kinds + rank[step:], return_inverse=True)[1]
+            kinds = int(rank.max()) + 1
+        if kinds < len(rank):
+            starts = np.flatnonzero(np.bincount(rank)[rank] > 1)
+            inside = np.bincount(starts, minlength=n + 1) - np.bincount(starts + WINDOW, minlength=n + 1)
+            repeated = int((np.cumsum(inside) > 0).sum())
     return n, len(text) - ascii_blank, symbols, len(lines) - len(set(lines)), repeated
 
 
@@ -82,7 +89,19 @@ def measurements(docs: DataFrame) -> DataFrame:
 def ledger(docs: DataFrame) -> DataFrame:
     """The measurements and fail_bits: bit i is set if the rule in place i of RULES fails."""
     bits = sum((F.when(F.expr(rule), F.lit(1 << i)).otherwise(F.lit(0)) for i, rule in enumerate(RULES.values())), F.lit(0))
-    return measurements(docs).withColumn("fail_bits", bits.cast("long"))
+    return measurements(docs).withColumn("fail_bits", bits.cast("long")).withColumn("rules_version", F.lit(RULES_VERSION))
+
+
+def store(docs: DataFrame, path: str) -> None:
+    """Writes the ledger of docs."""
+    ledger(docs).write.option("compression", "zstd").parquet(path)
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """A stored ledger; one of other rules, whose bits mean something else, is an error when it is read."""
+    rows = spark.read.parquet(path)
+    message = F.lit(f"the ledger at {path} is not of rules version {RULES_VERSION}")
+    return rows.withColumn("rules_version", F.when(F.col("rules_version") == RULES_VERSION, F.col("rules_version")).otherwise(F.raise_error(message).cast("int")))
 
 
 def mask(policy: str) -> int:
@@ -103,8 +122,21 @@ def ablation(rows: DataFrame, policy: str) -> DataFrame:
     return each.groupBy("rule").agg(count(F.col("bits").bitwiseAND(F.col("bit")) != 0)("fails"), count(F.col("bits") == F.col("bit"))("fails_alone"))
 
 
-def judged(docs: DataFrame, policy: str = "v1") -> DataFrame:
-    """The ledger with base_failed and kept."""
-    rows = ledger(docs)
+def verdicts(rows: DataFrame, policy: str) -> DataFrame:
+    """A ledger with base_failed and kept."""
     base = ~passes("base")
     return rows.select("*", base.alias("base_failed"), (~base & passes(policy)).alias("kept"), F.lit(policy).alias("policy"))
+
+
+def judged(docs: DataFrame, policy: str = "v1") -> DataFrame:
+    """The ledger of docs, stored in the shared folder, with the policy's verdicts."""
+    scratch = Scratch(docs.sparkSession, "quality")
+    store(docs, f"{scratch.root}/ledger")
+    return scratch.keep(verdicts(stored(docs.sparkSession, f"{scratch.root}/ledger"), policy))
+
+
+def policy_ablation(docs: DataFrame, policy: str = "v1") -> DataFrame:
+    """What each rule of the policy fails, from the stored ledger of docs."""
+    scratch = Scratch(docs.sparkSession, "quality")
+    store(docs, f"{scratch.root}/ledger")
+    return scratch.keep(ablation(stored(docs.sparkSession, f"{scratch.root}/ledger"), policy))

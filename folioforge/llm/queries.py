@@ -62,6 +62,12 @@ def op6_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return judged(documents(spark, folder))
 
 
+def quality_ablation(spark: SparkSession, folder: str) -> DataFrame:
+    from .quality import policy_ablation
+
+    return policy_ablation(documents(spark, folder))
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     from .secrets import scan
 
@@ -86,5 +92,6 @@ def queries() -> dict[str, Query]:
         for f in (
             op1_license_scan, op2_language_id, op3_mix_sources, op4_shard_by_bytes, op5_mixture_packing,
             op6_quality_ledger, op7_secret_scan, op8_exact_dedup, op9_jaccard_join, op10_arrow_tokens,
+            quality_ablation,
         )
     }

@@ -153,6 +153,8 @@ def test_mixed_documents(awkward, empty):
     copies = Counter()
     for r in mixing.mix(awkward).collect():
         copies[r["doc_id"]] += r["copies"]
+    mine = awkward.withColumns({"__copies": F.lit("mine"), "plan_epochs": F.lit("mine"), "Copy": F.lit("mine")})
+    assert {(r["__copies"], r["plan_epochs"], r["Copy"]) for r in mixing.mixed_documents(mine).collect()} == {("mine",) * 3}
     out = mixing.mixed_documents(awkward)
     assert out.columns == awkward.columns
     assert Counter(r["doc_id"] for r in out.collect()) == Counter({k: n for k, n in copies.items() if n})
@@ -327,6 +329,25 @@ def test_quality(awkward, empty):
     assert quality.judged(empty).count() == 0
 
 
+def test_ledger_is_stored(awkward, small, spark, tmp_path):
+    quality.store(awkward, f"{tmp_path}/ledger")
+    rows = quality.stored(spark, f"{tmp_path}/ledger")
+    assert sorted(map(str, quality.verdicts(rows, "v1").collect())) == sorted(map(str, quality.judged(awkward).collect()))
+    rows.withColumn("rules_version", F.lit(0)).write.parquet(f"{tmp_path}/old")
+    with pytest.raises(Exception, match="rules version"):
+        quality.stored(spark, f"{tmp_path}/old").collect()
+
+
+def test_no_local_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace as Fake
+
+    from folioforge.llm.common import shared_folder
+
+    context = Fake(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Fake(conf={}, sparkContext=context))
+
+
 # 2
 def test_language_id(awkward, empty, small):
     got = {r["doc_id"]: r for r in language_id.identify(awkward).collect()}
@@ -476,6 +497,16 @@ def test_licenses(awkward, empty, small, spark):
     assert license_scan.scan(empty).count() == 0
 
 
+def test_windows_collide_as_often_as_min_hashes_should(spark):
+    # Windows and segments of four shingles that share k of them: in a band, similarity (k / (8 - k)) to the power of two.
+    rows = [(k, [100_000 * n + i for i in range(4)], [100_000 * n + i + 4 - k for i in range(4)]) for k in range(5) for n in range(3000)]
+    df = spark.createDataFrame(rows, "k int, a array<bigint>, b array<bigint>")
+    for band in range(license_scan.BANDS):
+        hit = (license_scan._band(F.col("a"), 4, band) == license_scan._band(F.col("b"), 4, band)).cast("int")
+        got = {r["k"]: r["rate"] for r in df.groupBy("k").agg(F.avg(hit).alias("rate")).collect()}
+        assert all(abs(got[k] - (k / (8 - k)) ** 2) < 0.04 for k in range(5)) and got[4] == 1.0
+
+
 # 9
 def shingle_sets(rows, n):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
