@@ -98,7 +98,7 @@ def profiles(labelled: DataFrame, profile_size: int = 400, sample_per_language:
                 sums = np.concatenate([n for _, n in found])
                 distinct, at = np.unique(codes, return_inverse=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(distinct)), pa.array(distinct), pa.array(np.bincount(at, sums, len(distinct)).astype(np.int64))], ["lang", "code", "n"]
+                    [pa.array([lang] * len(distinct), pa.string()), pa.array(distinct), pa.array(np.bincount(at, sums, len(distinct)).astype(np.int64))], ["lang", "code", "n"]
                 )
 
     counted = sample.mapInArrow(run, "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
@@ -158,17 +158,23 @@ def identify(docs: DataFrame, profile_size: int = 400, sample_per_language: int
 
 
 def identified_documents(docs: DataFrame, profile_size: int = 400, sample_per_language: int = 1500) -> DataFrame:
-    """The documents that have a language: those predicted ``und`` go; all columns stay as they are."""
+    """The documents that have a language, with all their columns: those predicted ``und`` go, and where lang is null it
+    becomes the predicted one."""
     base = own_columns(docs, "doc_id", "text", "lang")
     learned = profiles(base.filter(fold(F.col("doc_id")) != 0), profile_size, sample_per_language)
     names = docs.columns
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         model = Classifier(learned, profile_size)
         for batch in batches:
             texts = batch.column(names.index("text")).to_pylist() if "text" in names else [None] * batch.num_rows
-            yield batch.filter(pa.array([model.predict(t)[0] != UNDETERMINED for t in texts], pa.bool_()))
+            found = pa.array([model.predict(t)[0] for t in texts], pa.string())
+            if "lang" in names:
+                at = names.index("lang")
+                batch = batch.set_column(at, batch.schema.field(at), pc.coalesce(batch.column(at), found))
+            yield batch.filter(pc.not_equal(found, UNDETERMINED))
 
     return docs.mapInArrow(run, docs.schema)

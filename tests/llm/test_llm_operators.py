@@ -354,6 +354,7 @@ def test_language_id(awkward, empty, small):
     assert all(got[d]["lang_pred"] == "und" for d in (2, 3, 4, 9, 11)) and got[10]["lang_pred"] in ("en", "de")
     assert all(r["held_out"] == (zlib.crc32(str(d).encode()) % 5 == 0) for d, r in got.items() if d is not None) and got[None]["held_out"]
     assert language_id.identify(empty).count() == 0 and language_id.identified_documents(empty).count() == 0
+    assert {r["lang"] for r in language_id.identified_documents(awkward.withColumn("lang", F.when(F.col("doc_id") != 6, F.col("lang")))).filter("doc_id = 6").collect()} <= {"en", "de"}
     kept = language_id.identified_documents(awkward)
     assert kept.columns == awkward.columns and {r["doc_id"] for r in kept.collect()} == {1, 5, 6, 7, 8, 12, 10, 13, None}
     truth = texts(small)
