@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioforge.llm.common import shared_folder
+from folioforge.llm.common import Scratch
 from folioforge.llm.exact_dedup import keep_one as keep_one_copy
 from folioforge.llm.jaccard_join import keep_one as keep_one_near
 from folioforge.llm.language_id import identified_documents
@@ -18,7 +18,7 @@ from folioforge.llm.queries import vocabulary
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those without a letter go."""
+    """Documents with a language; those without a letter go, and lang is filled in where it is null."""
     return identified_documents(docs)
 
 
@@ -55,13 +55,20 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over sf_dir's documents."""
-    import uuid
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    for n, (name, stage) in enumerate(STAGES):
-        path = f"{folder}/{n}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    """The rows of the last stage over sf_dir's documents.
+
+    A stage's table is dropped once the next one is written, the last one once the rows are kept as a checkpoint.  Nulls,
+    empty and very long texts, ties, repeated rows and columns of other names are as each stage's operator says; an empty
+    table gives no rows.
+    """
+    scratch = Scratch(spark, "pipeline")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES:
+        here = Scratch(spark, f"pipeline-{name}")
+        docs = here.table(stage(spark, docs, sf_dir))
+        if before:
+            before.drop()
+        before = here
+    docs = scratch.keep(docs)
+    before.drop()
     return docs
