@@ -5,15 +5,21 @@ White space is Unicode's, as everywhere in this package: Java's classes are told
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters that take no space after, or before, them when tokens are joined.
-NO_SPACE_AFTER = "([{/'\""
-NO_SPACE_BEFORE = ".,;:!?)]}%'"
-NO_SPACE_BEFORE_RUN = ".,;:!?)]}%"
+# Kinds of characters, as a Java class each, and which two kinds meet without a space when tokens are joined.
+KINDS = {
+    "any": r"\s\S", "letter": r"\p{L}", "digit": r"\p{Nd}", "opening": r"(\[{/'\"", "closing": r".,;:!?)\]}%", "apostrophe": "'", "percent": r"%)\]", "number sign": r".\-/", "hyphen": r"\-",
+}
+CLOSE = (
+    ("opening", "any"), ("any", "closing"), ("digit", "digit"), ("digit", "percent"), ("number sign", "digit"), ("hyphen", "letter"),
+)
+#: Tokens of plain text have these, too; formatted runs keep a space there.
+CLOSE_PLAIN = (("any", "apostrophe"), ("letter", "digit"))
 
 # A style that contains the key has the level; the first key counts.
 STYLE_LEVELS = {"heading 1": 1, "heading1": 1, "heading 2": 2, "heading2": 2, "heading 3": 3, "heading3": 3, "소제목2": 4, "subtitle2": 4}
@@ -53,41 +59,54 @@ def split_words(c: Column) -> Column:
     return F.filter(F.split(text_or_empty(c), r"(?U)\s+"), lambda w: w != "")
 
 
-def first_char(c: Column) -> Column:
-    return F.substring(c, 1, 1)
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once: as the argument of a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def last_char(c: Column) -> Column:
-    return F.substring(c, -1, 1)
+def part_of(array: Column, begin: Column, end: Column) -> Column:
+    """The elements of a non-empty stretch, taken one by one (slice copies the whole array first)."""
+    return F.transform(F.sequence(begin, end - 1), lambda i: F.get(array, i))
 
 
-def _one_of(c: Column, characters: str) -> Column:
-    return F.instr(F.lit(characters), c) > 0 if isinstance(c, str) else F.position(c, F.lit(characters)) > 0
+def close_pattern(run_rules: bool = False) -> str:
+    """The Java pattern of two characters that meet without a space."""
+    return "^(?:" + "|".join(f"[{KINDS[a]}][{KINDS[b]}]" for a, b in (*CLOSE, *(() if run_rules else CLOSE_PLAIN))) + ")$"
 
 
-def joins_closely(last: Column, first: Column, run_rules: bool = False) -> Column:
-    """Whether two tokens are joined without a space, told by the characters that meet.
+def glued(parts: Column, run_rules: bool = False) -> Column:
+    """An array's texts, none of them blank or with white space at its ends, as one: with a space between two of them unless
+    the characters that meet want none.  Each glue depends on two neighbours only, so the work is linear."""
+    meet = lambda a, b: F.concat(F.substring(a, -1, 1), F.substring(b, 1, 1))
+    glue = lambda a, b: F.when(meet(a, b).rlike(close_pattern(run_rules)), F.concat(a, F.lit(""))).otherwise(F.concat(a, F.lit(" ")))
+    return bound(parts, lambda p: F.array_join(F.zip_with(p, F.slice(p, 2, F.greatest(F.size(p), F.lit(1))), lambda a, b: F.when(b.isNull(), a).otherwise(glue(a, b))), ""))
 
-    run_rules: those of formatted runs, in which a letter before a digit and an apostrophe keep their space.
+
+def join_tokens(tokens: Column, run_rules: bool = False, clean: bool = False) -> Column:
+    """All tokens of an array as one text.
+
+    As if they were appended one by one: an empty token changes nothing, a blank one strips what is before it, or is
+    stripped by what comes after.  So blanks at the start cancel out in pairs, and outer white space stays where the
+    first or last token has any.  clean: the tokens are known to have no white space at their ends.
     """
-    digit = lambda c: c.rlike(r"^\p{Nd}$")
-    letter = lambda c: c.rlike(r"^\p{L}$")
-    before = NO_SPACE_BEFORE_RUN if run_rules else NO_SPACE_BEFORE
-    close = _one_of(last, NO_SPACE_AFTER) | _one_of(first, before) | (digit(last) & (digit(first) | _one_of(first, "%)]")))
-    close |= (_one_of(last, ".-/") & digit(first)) | ((last == "-") & letter(first))
-    return close if run_rules else close | (letter(last) & digit(first))
+    some = F.filter(tokens, lambda t: t.isNotNull() & (t != ""))
+    if clean:
+        return glued(some, run_rules)
 
+    def outer(t: Column, core: Column) -> Column:
+        blanks = F.when(F.size(core) == F.size(t), F.lit(0)).otherwise(F.array_position(F.transform(t, lambda x: strip(x) != ""), True) - 1)
+        first, last = F.get(t, blanks.cast("int")), F.get(t, F.size(t) - 1)
+        lead = F.when(blanks % 2 == 0, F.regexp_extract(first, r"(?U)^(\s*)", 1)).otherwise(F.lit(""))
+        tail = F.when(strip(last) != "", F.regexp_extract(last, r"(?U)(\s*)$", 1)).otherwise(F.lit(""))
+        whole = F.when(F.size(core) > 0, F.concat(lead, glued(core, run_rules), tail))
+        return whole.when(F.size(t) % 2 == 1, last).otherwise(F.lit(""))
 
-def concat_tokens(left: Column, right: Column, run_rules: bool = False) -> Column:
-    """Two tokens as one text; an empty one leaves the other as it is, a blank one the other stripped."""
-    l, r = right_strip(left), left_strip(right)
-    glue = F.when(joins_closely(last_char(l), first_char(r), run_rules), F.lit("")).otherwise(F.lit(" "))
-    return F.when(left == "", right).when(right == "", left).when(l == "", r).when(r == "", l).otherwise(F.concat(l, glue, r))
+    return bound(some, lambda t: bound(F.filter(F.transform(t, strip), lambda x: x != ""), lambda core: outer(t, core)))
 
 
-def join_tokens(tokens: Column, run_rules: bool = False) -> Column:
-    """All non-empty tokens of an array, folded by concat_tokens."""
-    return F.aggregate(F.filter(tokens, lambda t: t.isNotNull() & (t != "")), F.lit(""), lambda acc, t: concat_tokens(acc, t, run_rules))
+def concat_tokens(left: Column, right: Column, run_rules: bool = False) -> Column:
+    """Two tokens as one text; an empty one leaves the other as it is, a blank one the other stripped."""
+    return join_tokens(F.array(left, right), run_rules)
 
 
 def normalize_run(c: Column) -> Column:
@@ -149,19 +168,18 @@ def clean_heading(text: Column) -> Column:
     return strip(F.regexp_replace(t, NUMBERED, ""))
 
 
+# The parts of the sentence that tells where a chunk belongs.
+INTRO = ("This content is about the section ", ", and more specifically it belongs to ", ", focusing on ", ", under the subsection ", ", with a detailed reference to ")
+
+
 def section_intro(path: Column) -> Column:
     """The sentence that tells where a chunk belongs, from its titles (at most four)."""
     t = F.transform(F.filter(path, lambda x: x.isNotNull() & (x != "")), clean_heading)
     n, at = F.size(t), lambda i: F.get(t, F.lit(i))
-    head = F.concat(F.lit("This content is about the section "), at(0))
-    more = F.concat(head, F.lit(", and more specifically it belongs to "), at(1))
-    return (
-        F.when(n == 1, F.concat(head, F.lit(".")))
-        .when(n == 2, F.concat(more, F.lit(".")))
-        .when(n == 3, F.concat(more, F.lit(", focusing on "), at(2), F.lit(".")))
-        .when(n >= 4, F.concat(more, F.lit(", under the subsection "), at(2), F.lit(", with a detailed reference to "), at(3), F.lit(".")))
-        .otherwise(F.lit(""))
-    )
+    say = [F.lit(x) for x in INTRO]
+    one, two = [say[0], at(0)], [say[0], at(0), say[1], at(1)]
+    by_size = {1: one, 2: two, 3: [*two, say[2], at(2)], 4: [*two, say[3], at(2), say[4], at(3)]}
+    return F.coalesce(*(F.when(F.least(n, F.lit(4)) == k, F.concat(*parts, F.lit("."))) for k, parts in by_size.items()), F.lit(""))
 
 
 def media_ids(text: Column, kind: str) -> Column:

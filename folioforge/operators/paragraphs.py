@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import concat_tokens, is_blank, join_lines, normalize_run, strip, text_or_empty
+from ..functions.text import bound, glued, is_blank, join_lines, join_tokens, normalize_run, part_of, strip
 from ..shipping import ship_package
 
 RUN = "struct<text:string,b:boolean,i:boolean,u:boolean,rStyle:string,sz:double,color:string,image_rids:array<string>>"
@@ -17,22 +17,24 @@ FORMAT = ("b", "i", "u", "rStyle", "sz", "color")
 
 
 def coalesce_runs(runs: Column) -> Column:
-    """Neighbouring runs of one format as one; empty runs go.  The array stays in its row: no shuffle."""
-    clean = F.transform(runs, lambda r: r.withField("text", normalize_run(r["text"])))
-    clean = F.filter(clean, lambda r: r["text"] != "")
+    """Neighbouring runs of one format as one; empty runs go.  The array stays in its row: no shuffle, and linear work: the
+    places where the format changes cut the array into slices, and each slice is one run."""
+    clean = F.filter(F.transform(runs, lambda r: r.withField("text", normalize_run(r["text"]))), lambda r: r["text"] != "")
     no_rids = F.array().cast("array<string>")
+    look = lambda r: F.struct(*(r[f] for f in FORMAT))
 
-    def add(done: Column, run: Column) -> Column:
-        last = F.get(done, F.size(done) - 1)
-        alike = F.lit(True)
-        for f in FORMAT:
-            alike &= last[f].eqNullSafe(run[f])
-        both = last.withField("text", concat_tokens(last["text"], run["text"], run_rules=True)).withField(
-            "image_rids", F.array_distinct(F.concat(F.coalesce(last["image_rids"], no_rids), F.coalesce(run["image_rids"], no_rids)))
-        )
-        return F.when((F.size(done) > 0) & alike, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(both))).otherwise(F.concat(done, F.array(run)))
+    def one(part: Column) -> Column:
+        rids = F.array_distinct(F.flatten(F.transform(part, lambda r: F.coalesce(r["image_rids"], no_rids))))
+        first = F.get(part, F.lit(0))
+        whole = first.withField("text", glued(F.transform(part, lambda r: r["text"]), run_rules=True)).withField("image_rids", rids)
+        return F.when(F.size(part) > 1, whole).otherwise(first)
 
-    return F.aggregate(clean, F.array().cast(f"array<{RUN}>"), add)
+    def cut(c: Column) -> Column:
+        changes = F.filter(F.sequence(F.lit(0), F.size(c) - 1), lambda i: (i == 0) | ~look(F.get(c, i)).eqNullSafe(look(F.get(c, i - 1))))
+        part = lambda starts: lambda i, k: part_of(c, i, F.coalesce(F.get(starts, k + 1), F.size(c)))
+        return bound(changes, lambda starts: F.transform(F.transform(starts, part(starts)), one))
+
+    return bound(clean, lambda c: F.when(F.size(c) > 0, cut(c)).otherwise(F.array().cast(f"array<{RUN}>")))
 
 
 def clean_paragraphs(paragraphs: DataFrame) -> DataFrame:
@@ -40,7 +42,7 @@ def clean_paragraphs(paragraphs: DataFrame) -> DataFrame:
     runs stays as it is."""
     has = F.size(F.coalesce("runs", F.array().cast(f"array<{RUN}>"))) > 0
     p = paragraphs.withColumn("runs", F.when(has, coalesce_runs(F.col("runs"))).otherwise(F.col("runs"))).withColumn("__has", has)
-    text = strip(F.aggregate("runs", F.lit(""), lambda a, r: concat_tokens(a, r["text"], run_rules=True)))
+    text = strip(join_tokens(F.transform("runs", lambda r: r["text"]), run_rules=True))
     bold = F.filter(F.transform(F.filter("runs", lambda r: r["b"]), lambda r: strip(r["text"])), lambda t: t != "")
     image = F.exists("runs", lambda r: F.size(F.coalesce(r["image_rids"], F.array().cast("array<string>"))) > 0)
     on = F.col("__has")
@@ -91,30 +93,26 @@ def _squeeze(text: str | None) -> str:
 
 
 def align(left: list[str | None], right: list[str | None]) -> list[int | None]:
-    """For each right text the left one it is matched with: greedy, forward only.
+    """For each right text the left one it is matched with, in order: matches never cross.
 
-    Two texts match if, without white space and case, one contains the other, or if the left one has an image token.
-    A left text that fits is used up; one that doesn't is passed over only if no right text still to come equals it.
+    Two texts match if, without white space and case, one contains the other, or if the left one has an image token.  A
+    right text looks from behind the last match up to the first left text that matches, or that a right text further
+    on equals (its last occurrence tells that), as that one is not to be passed over; left texts passed over are gone.
     """
-    keys = [_squeeze(t) for t in right]
-    ahead: dict[str, int] = {}
-    for k in keys:
-        ahead[k] = ahead.get(k, 0) + 1
-    at, out = 0, []
-    for key in keys:
-        hit = None
-        while key and at < len(left):
-            other = _squeeze(left[at])
-            if other and ("[image:" in (left[at] or "") or other in key or key in other):
-                hit, at = at, at + 1
-                break
-            if other and ahead.get(other, 0) > 0:
-                break
-            at += 1
-        out.append(hit)
-        if key:
-            ahead[key] -= 1
-    return out
+    sought, offered = [_squeeze(t) for t in right], [_squeeze(t) for t in left]
+    wildcard = ["[image:" in (t or "") for t in left]
+    last = {key: j for j, key in enumerate(sought)}
+    hits: list[int | None] = [None] * len(sought)
+    begin = 0
+    for j, key in enumerate(sought):
+        if not key:
+            continue
+        match = lambda i: wildcard[i] or offered[i] in key or key in offered[i]  # noqa: B023, E731
+        stop = next((i for i in range(begin, len(offered)) if offered[i] and (match(i) or last.get(offered[i], -1) > j)), None)
+        if stop is not None and match(stop):
+            hits[j] = stop
+        begin = len(offered) if stop is None else stop + (hits[j] is not None)
+    return hits
 
 
 def merge_sources(first: DataFrame, second: DataFrame) -> DataFrame:

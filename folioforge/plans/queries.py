@@ -226,10 +226,11 @@ _WORDS = r"list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')"
 
 
 def _closely(run_rules: bool) -> str:
-    before = T.NO_SPACE_BEFORE_RUN if run_rules else T.NO_SPACE_BEFORE
+    before = ".,;:!?)]}%" if run_rules else ".,;:!?)]}%'"
+    after = "([{/'\""
     quote = lambda s: s.replace("'", "''")
     rule = (
-        f"contains('{quote(T.NO_SPACE_AFTER)}', right(a, 1)) OR contains('{quote(before)}', left(b, 1)) OR (regexp_matches(a, '\\p{{Nd}}$') AND (regexp_matches(b, '^\\p{{Nd}}') OR contains('%)]', left(b, 1))))"
+        f"contains('{quote(after)}', right(a, 1)) OR contains('{quote(before)}', left(b, 1)) OR (regexp_matches(a, '\\p{{Nd}}$') AND (regexp_matches(b, '^\\p{{Nd}}') OR contains('%)]', left(b, 1))))"
         " OR (contains('.-/', right(a, 1)) AND regexp_matches(b, '^\\p{Nd}')) OR (right(a, 1) = '-' AND regexp_matches(b, '^\\p{L}'))"
     )
     rule += "" if run_rules else " OR (regexp_matches(a, '\\p{L}$') AND regexp_matches(b, '^\\p{Nd}'))"
@@ -238,7 +239,7 @@ def _closely(run_rules: bool) -> str:
 
 @query(f"WITH {LINES}, w AS (SELECT doc_id, doc_index, {_WORDS} AS w FROM lines) SELECT doc_id, doc_index, CASE WHEN len(w) = 0 THEN '' ELSE list_reduce(w, {_closely(False)}) END AS joined FROM w")
 def token_concat(spark, folder):
-    return lines(spark, folder).select("doc_id", "doc_index", T.join_tokens(T.split_words(F.col("text"))).alias("joined"))
+    return lines(spark, folder).select("doc_id", "doc_index", T.join_tokens(T.split_words(F.col("text")), clean=True).alias("joined"))
 
 
 @query(

@@ -68,8 +68,15 @@ def test_parse():
     assert docx.parse_docx(b"no zip")["success"] is False
 
 
-def test_join_two():
-    assert [docx.join_two(*x) for x in (("abc", "12"), ("don", "'t"), ("(", "x"), ("1.", "5"), ("x-", "y"), ("a", "b"), ("", "b"))] == ["abc12", "don't", "(x", "1.5", "x-y", "a b", "b"]
+def test_joined():
+    cases = {("abc", "12"): "abc12", ("don", "'t"): "don't", ("(", "x"): "(x", ("1.", "5"): "1.5", ("x-", "y"): "x-y", ("a", "b"): "a b", ("", "b"): "b", (" a", " ", "b ", "."): " a b.", (" ",): " ", (): ""}
+    assert {k: docx.joined(k) for k in cases} == cases
+
+
+def test_empty_merges_stay_empty():
+    # What an empty value means is told by vmerge_default, so the reader keeps it.
+    d = docx.parse_docx(make("<w:tbl><w:tr>" + tc(p(run("A")), "<w:vMerge/>") + tc(p(run("B"))) + "</w:tr></w:tbl>"))
+    assert [c["vMerge"] for c in d["tables"][0]["rows"][0]] == ["", None]
 
 
 def test_files_to_chunks(spark, tmp_path):
