@@ -74,7 +74,8 @@ def running(lengths: Column) -> Column:
         return F.struct((s["at"] + block["at"]).alias("at"), F.concat(s["sums"], F.array(s["at"])).alias("sums"))
 
     def joined(n: Column) -> Column:
-        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(n) - 1) / BLOCK)), lambda b: F.aggregate(F.slice(n, (b * BLOCK + 1).cast("int"), F.lit(BLOCK)), none, add))
+        taken = lambda b: F.transform(F.sequence(b * BLOCK, F.least(F.size(n), (b + 1) * BLOCK) - 1), lambda i: F.get(n, i))  # noqa: E731  slice would copy all of it
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(n) - 1) / BLOCK).cast("int")), lambda b: F.aggregate(taken(b), none, add))
         return bound(blocks, lambda bs: F.flatten(F.zip_with(bs, F.aggregate(bs, none, start)["sums"], lambda block, at: F.transform(block["sums"], lambda x: x + at))))
 
     return bound(lengths, lambda n: F.when(F.size(n) > 0, joined(n)).otherwise(F.array().cast("array<int>")))
