@@ -1,6 +1,8 @@
 """Command line: parse Word files to chunks, or show what a stored result holds.
 
     python -m folioforge.cli run INPUT OUTPUT [--captions FILE]
+    python -m folioforge.cli run INPUT OUTPUT --one NAME        only the file that NAME means (path, name or stem)
+    python -m folioforge.cli index CHUNKS OUTPUT [--name N] [--language L] [--version V] [--file-names A,B]
     python -m folioforge.cli inspect OUTPUT {paragraphs,tables,lists,images,chunks,all,ls} [--json]
 """
 
@@ -8,14 +10,17 @@ from __future__ import annotations
 
 import argparse
 import json
-import os
+from collections.abc import Iterator, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import indexing
+from .config import Settings
 from .functions.text import file_name, file_stem
 from .operators import chunking, images, lists, paragraphs, tables
-from .sources import docx
+from .sources import docx, files
 
 COMPONENTS = ("paragraphs", "tables", "lists", "images", "chunks")
 
@@ -34,9 +39,12 @@ def process(docs: DataFrame, captions: DataFrame | None = None) -> dict[str, Dat
     return {"paragraphs": p, "tables": t, "lists": lists.list_components(p), "images": found, "chunks": chunks}
 
 
-def run(spark: SparkSession, source: str, target: str, captions: str | None = None) -> None:
+def run(spark: SparkSession, source: str, target: str, captions: str | None = None, one: str | None = None) -> None:
     """Writes every component below target as a table; files that can't be parsed are listed in ``errors``."""
-    docs = docx.read_docx(spark, source).persist()
+    docs = docx.read_docx(spark, source)
+    if one is not None:
+        docs = docs.join(files.pick_one(docs.select(F.col("doc_id").alias("path")), one), F.col("doc_id") == F.col("path"), "left_semi")
+    docs = docs.persist()
     rows = spark.read.option("multiLine", True).schema("doc_id string, rId string, llm_text string").json(captions) if captions else None
     if rows is not None:
         rows = rows.withColumn("ord", F.monotonically_increasing_id())
@@ -46,18 +54,34 @@ def run(spark: SparkSession, source: str, target: str, captions: str | None = No
     docs.unpersist()
 
 
-def inspect(spark: SparkSession, target: str, what: str, as_json: bool = False) -> str:
-    """Counts of all components, or the rows of one."""
-    exists = lambda n: os.path.isdir(f"{target}/{n}")
+def component_counts(parts: Mapping[str, DataFrame]) -> DataFrame:
+    """(component, n) of tables by name."""
+    return reduce(DataFrame.unionByName, [df.agg(F.lit(name).alias("component"), F.count(F.lit(1)).alias("n")) for name, df in parts.items()])
+
+
+def stored(spark: SparkSession, target: str) -> dict[str, DataFrame]:
+    """The components that are below target, in any store that Spark reads."""
+    path = lambda n: spark._jvm.org.apache.hadoop.fs.Path(f"{target}/{n}")
+    return {n: spark.read.parquet(f"{target}/{n}") for n in COMPONENTS if path(n).getFileSystem(spark._jsc.hadoopConfiguration()).exists(path(n))}
+
+
+def inspected(spark: SparkSession, target: str, what: str, as_json: bool = False) -> Iterator[str]:
+    """Lines of: which components there are, counts of all, or the count or (as JSON, row by row) the rows of one."""
+    parts = stored(spark, target)
     if what == "ls":
-        return "\n".join(f"{n}: {'yes' if exists(n) else 'no'}" for n in COMPONENTS)
-    if what == "all":
-        counts = {n: spark.read.parquet(f"{target}/{n}").count() for n in COMPONENTS if exists(n)}
-        return json.dumps(counts) if as_json else "\n".join(f"{n}: {c}" for n, c in counts.items())
-    rows = spark.read.parquet(f"{target}/{what}")
-    if as_json:  # what was asked for, on a console
-        return "[" + ",\n".join(rows.toJSON().collect()) + "]"
-    return str(rows.count())
+        yield from (f"{n}: {'yes' if n in parts else 'no'}" for n in COMPONENTS)
+    elif what == "all":
+        counts = {r["component"]: r["n"] for r in component_counts(parts).collect()} if parts else {}
+        counts = {n: counts[n] for n in parts}
+        yield from [json.dumps(counts)] if as_json else (f"{n}: {c}" for n, c in counts.items())
+    elif as_json:
+        yield from parts[what].toJSON().toLocalIterator()
+    else:
+        yield str(parts[what].count())
+
+
+def inspect(spark: SparkSession, target: str, what: str, as_json: bool = False) -> str:
+    return "\n".join(inspected(spark, target, what, as_json))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -67,6 +91,12 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("input")
     r.add_argument("output")
     r.add_argument("--captions")
+    r.add_argument("--one")
+    x = commands.add_parser("index")
+    x.add_argument("chunks")
+    x.add_argument("output")
+    for option in ("name", "language", "version", "file-names"):
+        x.add_argument(f"--{option}")
     i = commands.add_parser("inspect")
     i.add_argument("output")
     i.add_argument("what", choices=(*COMPONENTS, "all", "ls"))
@@ -74,9 +104,13 @@ def main(argv: list[str] | None = None) -> None:
     a = parser.parse_args(argv)
     spark = SparkSession.builder.appName("folioforge").getOrCreate()
     if a.command == "run":
-        run(spark, a.input, a.output, a.captions)
+        run(spark, a.input, a.output, a.captions, a.one)
+    elif a.command == "index":
+        settings = Settings.of_environment(name=a.name, language=a.language, version=a.version, file_names=a.file_names)
+        print(indexing.build_index(spark, a.chunks, a.output, settings).path)
     else:
-        print(inspect(spark, a.output, a.what, a.json))
+        for line in inspected(spark, a.output, a.what, a.json):
+            print(line)
 
 
 if __name__ == "__main__":

@@ -1,45 +1,14 @@
-"""Settings: what kinds of vectors, searches and chunks there are, and how a collection is set up."""
+"""Settings of an index: how its collection is named and compared, and how texts are tokenized and encoded."""
 
 from __future__ import annotations
 
+import os
 import re
-from dataclasses import dataclass, field
-from enum import StrEnum
+from collections.abc import Mapping
+from dataclasses import dataclass, fields
 
-
-class VectorKind(StrEnum):
-    DENSE = "dense"
-    SPARSE = "sparse"
-    LATE_INTERACTION = "colbert"
-
-
-class SearchType(StrEnum):
-    SPARSE = "sparse"
-    DENSE = "dense"
-    HYBRID = "hybrid"
-    MULTISTAGE = "multistage"
-
-
-class ChunkStrategy(StrEnum):
-    FIXED = "fixed"
-    RECURSIVE = "recursive"
-    HIERARCHICAL = "hierarchical"
-    ROW = "row"
-
-
-@dataclass(frozen=True)
-class IndexConfig:
-    """Graph parameters are kept for stores that have a graph index; search here is exact."""
-
-    distance: str = "Cosine"
-    m: int = 32
-    ef_construct: int = 200
-    full_scan_threshold: int = 10_000
-    payload_m: int = 16
-
-    def __post_init__(self):
-        if self.distance not in ("Cosine", "Dot", "Euclidean"):
-            raise ValueError(f"no distance {self.distance!r}")
+DISTANCES = ("Cosine", "Dot", "Euclidean")
+PREFIX = "FOLIOFORGE_"
 
 
 @dataclass(frozen=True)
@@ -47,12 +16,27 @@ class Settings:
     name: str = "documents"
     language: str = "ko"
     version: str = "v2"
-    index: IndexConfig = field(default_factory=IndexConfig)
-    dimensions: dict[str, int] = field(default_factory=dict)
+    distance: str = "Cosine"
     batch_size: int = 32
     late_interaction_batch_size: int = 1
     file_names: tuple[str, ...] = ()
 
+    def __post_init__(self):
+        if self.distance not in DISTANCES:
+            raise ValueError(f"no distance {self.distance!r}")
+
+    @classmethod
+    def of_environment(cls, environment: Mapping[str, str] = os.environ, **given) -> Settings:
+        """Each setting as given, or (where that is None) by FOLIOFORGE_<NAME> in the environment, or its default."""
+        found = {}
+        for f in fields(cls):
+            value = given.get(f.name)
+            if value is None:
+                value = environment.get(PREFIX + f.name.upper())
+            if value is not None:
+                found[f.name] = file_names(value) if f.name == "file_names" else type(f.default)(value)
+        return cls(**found)
+
     @property
     def safe_version(self) -> str:
         return re.sub(r"[^a-zA-Z0-9._-]", "_", self.version.strip()) or "v1"
@@ -62,7 +46,7 @@ class Settings:
         return f"{self.name}_{self.safe_version}_{self.language}"
 
 
-def file_names(value: str | list[str] | None) -> tuple[str, ...]:
+def file_names(value: str | list[str] | tuple[str, ...] | None) -> tuple[str, ...]:
     """A list of names, given as one or as comma-separated text."""
     parts = value.split(",") if isinstance(value, str) else (value or [])
     return tuple(p.strip() for p in parts if p and p.strip())

@@ -6,12 +6,14 @@ all use them.  Vocabulary ids are the ranks of the terms, so they are the same i
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
+from ..sources.files import read_texts
 
 
 #: Ranges of terms that are numbered on their own.
@@ -84,6 +86,11 @@ def fit(docs: DataFrame, params: Params = Params(), text: str = "text", key: str
     return Model(params, meta, numbered(vocabulary(toks, params)))
 
 
+def fit_json_lines(spark: SparkSession, paths: str | Sequence[str], params: Params = Params(), text_field: str = "context") -> Model:
+    """A model of the texts of JSON lines."""
+    return fit(read_texts(spark, paths, text_field).withColumn("doc_id", F.monotonically_increasing_id()), params)
+
+
 def weights(toks: DataFrame, vocab: DataFrame, meta: DataFrame, params: Params) -> DataFrame:
     """doc_id, term, (idx,) weight of each document's terms in the vocabulary; a document's length counts those only."""
     tf = toks.select("doc_id", F.explode("tokens").alias("term")).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))

@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import cli
+from ..functions import models
 from ..functions import text as T
 from ..operators import bm25, chunking, collection, images, lists, paragraphs, sections, tables, vectors
 from ..sources import files
@@ -349,7 +351,7 @@ def image_in_table_semi(spark, folder):
 
 @query("SELECT page_id, sha256(html) AS content_sha256 FROM pages WHERE sha256(html) NOT IN (SELECT sha256(html) FROM pages WHERE page_id % 2 = 0)")
 def ocr_cache_anti(spark, folder):
-    p = table(spark, folder, "pages").select("page_id", F.sha2("html", 256).alias("content_sha256"))
+    p = table(spark, folder, "pages").select("page_id", models.content_hash(F.col("html")).alias("content_sha256"))
     return images.uncached(p, p.filter("page_id % 2 = 0")).select("page_id", "content_sha256")
 
 
@@ -634,10 +636,10 @@ def jsonl_id_resolution(spark, folder):
     return files.resolve_ids(rows).select("line.conv_id", "line.turn", "unique_id", "content")
 
 
-@query("SELECT doc_id AS id, CASE WHEN doc_id % 3 = 0 THEN 'new' ELSE source END AS source FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 = 0")
+@query("SELECT doc_id AS id, CASE WHEN doc_id % 3 = 0 THEN 'new' ELSE source END AS source FROM documents")
 def collection_upsert(spark, folder):
     d = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "source")
-    return collection.upserted(d.filter("id % 2 = 0"), d.filter("id % 3 = 0").withColumn("source", F.lit("new")))
+    return collection.upserted(d, d.filter("id % 3 = 0").withColumn("source", F.lit("new")))
 
 
 @query("SELECT doc_id AS id, source FROM documents WHERE doc_id % 7 <> 0")
@@ -654,13 +656,13 @@ def collection_update(spark, folder):
 
 @query("SELECT count(*) AS n FROM documents")
 def collection_count(spark, folder):
-    return table(spark, folder, "documents").agg(F.count(F.lit(1)).alias("n"))
+    return collection.counted(table(spark, folder, "documents"))
 
 
 @query("SELECT doc_id AS id FROM documents WHERE source = 'src3'")
 def filter_by_file(spark, folder):
     d = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), F.struct(F.struct(F.col("source").alias("File_name")).alias("metadata")).alias("payload"))
-    return d.filter(F.col("payload.metadata.File_name") == "src3").select("id")
+    return collection.ids_of_file(d, "src3")
 
 
 @query(
@@ -676,11 +678,7 @@ def point_generation(spark, folder):
     UNION ALL SELECT 'embeddings', count(*) FROM embeddings UNION ALL SELECT 'benchmark', count(*) FROM benchmark"""
 )
 def inspect_counts(spark, folder):
-    parts = [table(spark, folder, n).agg(F.lit(n).alias("component"), F.count(F.lit(1)).alias("n")) for n in ("documents", "pages", "conversations", "embeddings", "benchmark")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return cli.component_counts({n: table(spark, folder, n) for n in ("documents", "pages", "conversations", "embeddings", "benchmark")})
 
 
 @query("""SELECT page_id, replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS escaped FROM pages""")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import file_name, file_stem, is_blank, safe_version
@@ -33,16 +33,27 @@ def read_jsonl(spark: SparkSession, paths: str | Sequence[str], version: str = "
     those alone count.  metadata.general_info gets the file's stem and versioned name.
     """
     rows = spark.read.schema(JSONL).option("mode", "DROPMALFORMED").json(list(paths) if not isinstance(paths, str) else paths)
-    return resolve_ids(rows.withColumn("path", F.input_file_name()).withColumn("line", F.monotonically_increasing_id()), version)
+    numbered = rows.withColumn("path", F.input_file_name()).withColumn("line", F.monotonically_increasing_id())
+    return resolve_ids(numbered, version, F.shiftright("line", 33))  # the scan's tasks, which are stretches of a file
 
 
-def resolve_ids(rows: DataFrame, version: str = "") -> DataFrame:
-    """rows (path, line, context, content, unique_id, id, metadata) with ids resolved."""
+def resolve_ids(rows: DataFrame, version: str = "", block: Column | None = None) -> DataFrame:
+    """rows (path, line, context, content, unique_id, id, metadata) with ids resolved.
+
+    block: number of the stretch of lines that a line is in, ascending with them; lines are counted by stretch, and the
+    few counts of the stretches summed up, so no task has to hold a whole file.
+    """
     given = F.coalesce(*(F.nullif(F.col(c), F.lit("")) for c in ("unique_id", "id", "metadata.id")))
     stem = file_stem(file_name(F.col("path")))
     versioned = F.concat_ws("_", stem, safe_version(F.lit(version)))
-    r = rows.withColumn("given", given).withColumn("stem", stem).withColumn("versioned", versioned)
-    number = F.row_number().over(Window.partitionBy("path", F.col("given").isNull()).orderBy("line"))
+    r = rows.withColumn("given", given).withColumn("stem", stem).withColumn("versioned", versioned).withColumn("block", block if block is not None else F.lit(0))
+    r = r.withColumn("lacks", F.col("given").isNull())
+    counts = r.filter("lacks").groupBy(F.col("path").alias("of"), F.col("block").alias("of_block")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("of").orderBy("of_block").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select("of", "of_block", F.coalesce(before, F.lit(0)).alias("before"))
+    r = r.withColumn("here", F.row_number().over(Window.partitionBy("path", "block", "lacks").orderBy("line")))
+    r = r.join(counts, F.col("lacks") & (F.col("path") == F.col("of")) & (F.col("block") == F.col("of_block")), "left")
+    number = F.coalesce("before", F.lit(0)) + F.col("here")
     uid = F.coalesce("given", F.concat("versioned", F.format_string("_%06d", number)))
     info = F.struct(F.col("metadata.general_info.filename").alias("filename"), F.col("stem").alias("filename_stem"), F.col("versioned").alias("filename_versioned"))
     meta = F.struct(F.col("metadata.id").alias("id"), F.col("metadata.external_id").alias("external_id"), info.alias("general_info"))

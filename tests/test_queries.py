@@ -20,7 +20,7 @@ def db():
     return c
 
 
-@pytest.mark.parametrize("name", [n for n in SQL if not n.startswith("table_")])
+@pytest.mark.parametrize("name", list(SQL))
 def test_rows(spark, db, tmp_path, name):
     QUERIES[name](spark, FOLDER).write.parquet(f"{tmp_path}/out")
     got = db.sql(f"select * from '{tmp_path}/out/*.parquet'")
