@@ -235,7 +235,9 @@ def near_groups(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame
 
     # 4. Components of the links, and of rows with equal sets.
     joined = classes.join(connected_components(links, scratch), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = joined.groupBy("root").agg(F.min("lowest").alias("least"))
+    joined = scratch.table(joined.select("root", "lowest", "d1", "d2"))
+    # Written, so that both sides of the join are shuffled: a root of many classes is then split at run time.
+    least = scratch.table(joined.groupBy("root").agg(F.min("lowest").alias("least")))
     result = scratch.table(joined.select("root", "d1", "d2").join(least, "root").select("d1", "d2", F.col("least.doc_id").alias("component_id"), F.col("least.rid").alias("keeper")))
     out = rows.select("doc_id", "n_shingles", "d1", "d2", "rid", "text_hash").join(result, ["d1", "d2"], "left")
     none = F.col("keeper").isNull()
