@@ -1,7 +1,8 @@
 """BM25 sparse vectors: fit, transform, search, save and load.
 
-Tokens are written once (by the caller's ``persist`` or as a table), as document frequencies, the totals and the weights
-all use them.  Vocabulary ids are the ranks of the terms, so they are the same in every run.
+A fit reads the texts once: document frequencies and the totals come from one aggregate, and only that, a row a term, is
+kept until :meth:`Model.release`; tokens are never kept.  Vocabulary ids are the ranks of the terms, so they are the same in
+every run.
 """
 
 from __future__ import annotations
@@ -31,11 +32,17 @@ class Params:
 
 @dataclass(frozen=True)
 class Model:
-    """meta: one row (N, avgdl); vocab: (term, idx, df, idf)."""
+    """meta: one row (N, avgdl); vocab: (term, idx, df, idf); counted: what both are made of, persisted, if they were fitted."""
 
     params: Params
     meta: DataFrame
     vocab: DataFrame
+    counted: DataFrame | None = None
+
+    def release(self) -> None:
+        """Gives back the storage of the counts; what is read from the model later is counted anew."""
+        if self.counted is not None:
+            self.counted.unpersist()
 
 
 def tokenized(docs: DataFrame, language: str, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -46,15 +53,22 @@ def document_frequencies(toks: DataFrame) -> DataFrame:
     return toks.select(F.explode(F.array_distinct("tokens")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def totals(toks: DataFrame) -> DataFrame:
+def counts(toks: DataFrame) -> DataFrame:
+    """(term, df, size): a row a term, and one with a null term, of N (documents with a token) and the sum of their tokens."""
+    n = F.size("tokens").cast("long")
+    terms = F.transform(F.array_distinct("tokens"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("df"), F.lit(0).cast("long").alias("size")))
+    whole = F.struct(F.lit(None).cast("string").alias("term"), F.when(n > 0, 1).otherwise(0).alias("df"), n.alias("size"))
+    return toks.select(F.inline(F.concat(terms, F.array(whole)))).groupBy("term").agg(F.sum("df").alias("df"), F.sum("size").alias("size"))
+
+
+def totals(counted: DataFrame) -> DataFrame:
     """N (documents with a token) and avgdl (tokens a document)."""
-    n = F.size("tokens")
-    return toks.agg(F.count(F.when(n > 0, 1)).alias("N"), (F.sum(n) / F.count(F.when(n > 0, 1))).alias("avgdl"))
+    return counted.filter("term is null").select(F.col("df").alias("N"), (F.col("size") / F.nullif("df", F.lit(0).cast("long"))).alias("avgdl"))
 
 
-def vocabulary(toks: DataFrame, params: Params) -> DataFrame:
+def vocabulary(counted: DataFrame, params: Params) -> DataFrame:
     """Terms within the frequency bounds; the bound above is the whole part of the ratio times N."""
-    df = document_frequencies(toks).join(totals(toks), how="cross")  # one row of totals
+    df = counted.filter("term is not null").select("term", "df").join(F.broadcast(totals(counted)), how="cross")  # one row of totals
     most = F.floor(F.lit(params.max_df_ratio).cast("double") * F.col("N"))
     idf = F.log((F.col("N") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1.0)
     return df.filter((F.col("df") >= params.min_df) & (F.col("df") <= most)).select("term", "df", idf.alias("idf")).filter("idf > 0")
@@ -79,11 +93,13 @@ def numbered(vocab: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, params: Params = Params(), text: str = "text", key: str = "doc_id") -> Model:
     if params.language == "auto":
         raise ValueError("a model is fitted for en or ko, not for auto")
-    toks = tokenized(docs, params.language, text, key).persist()
-    meta = totals(toks)
-    if not meta.first()["N"]:
+    counted = counts(tokenized(docs, params.language, text, key)).persist()
+    meta = totals(counted)
+    found = meta.first()
+    if found is None or not found["N"]:
+        counted.unpersist()
         raise ValueError("there is no document with a token")
-    return Model(params, meta, numbered(vocabulary(toks, params)))
+    return Model(params, meta, numbered(vocabulary(counted, params)), counted)
 
 
 def fit_json_lines(spark: SparkSession, paths: str | Sequence[str], params: Params = Params(), text_field: str = "context") -> Model:
