@@ -40,7 +40,6 @@ def build_index(spark: SparkSession, base: str, target: str, settings: Settings,
     try:
         model = bm25.fit(rows, bm25.Params(language=settings.language), key="id")
         bm25.save(model, f"{target}/{settings.collection}_bm25")
-        model.release()
         model = bm25.load(spark, f"{target}/{settings.collection}_bm25", settings.language)
         sparse = bm25.transform(rows, model, key="id").withColumnRenamed("doc_id", "id")
         out = rows.join(sparse, "id")

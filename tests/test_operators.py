@@ -172,8 +172,6 @@ def test_bm25(spark):
     assert m.meta.first().asDict() == {"N": 3, "avgdl": 3.0}
     vocab = {r["term"]: (r["idx"], round(r["idf"], 6)) for r in m.vocab.collect()}
     assert vocab == {"a_b": (0, 0.470004), "b": (1, 0.470004)}
-    m.release()
-    assert not m.counted.is_cached
     got = {r["doc_id"]: (r["sparse"]["indices"], [round(v, 6) for v in r["sparse"]["values"]]) for r in bm25.transform(docs, m).collect()}
     assert got == {1: ([0, 1], [0.544215] * 2), 2: ([], []), 3: ([0, 1], [0.544215] * 2), 4: ([], [])}
 
