@@ -30,7 +30,8 @@ def coalesce_runs(runs: Column) -> Column:
         return F.when(F.size(part) > 1, whole).otherwise(first)
 
     def cut(c: Column) -> Column:
-        changes = F.filter(F.sequence(F.lit(0), F.size(c) - 1), lambda i: (i == 0) | ~look(F.get(c, i)).eqNullSafe(look(F.get(c, i - 1))))
+        first_or_changed = lambda f: lambda i: (i == 0) | ~F.get(f, i).eqNullSafe(F.get(f, i - 1))
+        changes = bound(F.transform(c, look), lambda f: F.filter(F.sequence(F.lit(0), F.size(f) - 1), first_or_changed(f)))
         part = lambda starts: lambda i, k: part_of(c, i, F.coalesce(F.get(starts, k + 1), F.size(c)))
         return bound(changes, lambda starts: F.transform(F.transform(starts, part(starts)), one))
 

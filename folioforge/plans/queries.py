@@ -258,7 +258,9 @@ def run_merge(spark, folder):
     run = lambda w: F.struct(
         w.alias("text"), (F.char_length(w) % 2 == 1).alias("b"), off.alias("i"), off.alias("u"), none("string").alias("rStyle"), none("double").alias("sz"), none("string").alias("color"), F.array().cast("array<string>").alias("image_rids")
     )
-    r = lines(spark, folder).select("doc_id", "doc_index", paragraphs.coalesce_runs(F.transform(T.split_words(F.col("text")), run)).alias("r")).filter(F.size("r") > 0)
+    # Lines without runs are told by their text: a filter on the runs would be pushed below them and work them out twice.
+    some = lines(spark, folder).filter(~T.is_blank(F.replace(F.col("text"), F.lit("\u200b"), F.lit(""))))
+    r = some.select("doc_id", "doc_index", paragraphs.coalesce_runs(F.transform(T.split_words(F.col("text")), run)).alias("r"))
     shown = F.transform("r", lambda x: F.concat(x["text"], F.lit("/"), x["b"].cast("int").cast("string")))
     return r.select("doc_id", "doc_index", F.size("r").cast("long").alias("n_runs"), F.array_join(shown, "|").alias("runs"))
 
