@@ -2,8 +2,7 @@
 
 The tables have no Word documents in them, so elements are derived by rule: a line of a document is a paragraph, whose
 style and number come from a hash of its place (:func:`lines`); a conversation is a document, whose turns are elements;
-an order is a table, whose line items are rows.  They run over whole tables and whole texts, but for the six BM25
-queries whose SQL takes the documents with lang = 'en'; each has a twin, named ..._all, over every document with a text.
+an order is a table, whose line items are rows.  They run over whole tables and whole texts.
 """
 
 from __future__ import annotations
@@ -194,7 +193,7 @@ def chunk_boundaries(spark, folder):
     SELECT doc_id, chunk_seq, doc_id || '::chunk_' || lpad(CAST(chunk_seq AS VARCHAR), 4, '0') AS context_id, len(t) AS section_length, array_to_string(path, ' > ') AS section_path,
       concat_ws(chr(10) || chr(10), nullif({_INTRO}, ''), nullif(body, '')) AS context FROM i"""
 )
-def chunk_documents(spark, folder):
+def chunk__texts(spark, folder):
     c = chunking.chunk(turns(spark, folder))
     return c.select("doc_id", "chunk_seq", F.col("Context_id").alias("context_id"), F.col("Section_length").cast("long").alias("section_length"), F.array_join("Section_path", " > ").alias("section_path"), F.col("Context").alias("context"))
 
@@ -479,7 +478,7 @@ def caption_inject(spark, folder):
 # ---- BM25 -----------------------------------------------------------------------------------------------------------
 
 EN = """
-w AS (SELECT doc_id, regexp_extract_all(lower(text), '[A-Za-z0-9_]+') AS w FROM documents WHERE lang = 'en'),
+w AS (SELECT doc_id, regexp_extract_all(lower(text), '[A-Za-z0-9_]+') AS w FROM documents WHERE text IS NOT NULL),
 toks AS (SELECT doc_id, w || list_transform(range(1, len(w)), lambda i: w[i] || '_' || w[i + 1]) AS t FROM w),
 e AS (SELECT doc_id, unnest(t) AS term FROM toks),
 tot AS (SELECT count(*) FILTER (len(t) > 0) AS n, CAST(sum(len(t)) AS DOUBLE) / count(*) FILTER (len(t) > 0) AS avgdl FROM toks),
@@ -490,21 +489,14 @@ wt AS (SELECT doc_id, term, idx, idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * sum
 """
 
 
-#: The same over every document with a text: language en picks the tokenizer only.
-EN_ALL = EN.replace("WHERE lang = 'en'", "WHERE text IS NOT NULL")
-
-
-def _english(spark, folder) -> DataFrame:
-    return table(spark, folder, "documents").filter("lang = 'en'")
-
-
-def _every(spark, folder) -> DataFrame:
+def _texts(spark, folder) -> DataFrame:
+    """Every document with a text: language en picks the tokenizer only."""
     return table(spark, folder, "documents").filter("text is not null")
 
 
 @query("WITH " + EN + " SELECT doc_id, len(t) AS n_tokens, md5(array_to_string(t, ' ')) AS tokens_md5 FROM toks")
-def en_tokens(spark, folder, documents=_english):
-    t = bm25.tokenized(documents(spark, folder), "en")
+def en_tokens(spark, folder):
+    t = bm25.tokenized(_texts(spark, folder), "en")
     return t.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.md5(F.array_join("tokens", " ")).alias("tokens_md5"))
 
 
@@ -518,26 +510,26 @@ def ko_tokens(spark, folder):
 
 
 @query("WITH " + EN + " SELECT term, df FROM df")
-def bm25_df(spark, folder, documents=_english):
-    return bm25.document_frequencies(bm25.tokenized(documents(spark, folder), "en"))
+def bm25_df(spark, folder):
+    return bm25.document_frequencies(bm25.tokenized(_texts(spark, folder), "en"))
 
 
 @query("WITH " + EN + " SELECT term, df, idx, round(idf, 6) AS idf FROM vocab")
-def bm25_vocab(spark, folder, documents=_english):
-    v = bm25.fit(documents(spark, folder)).vocab
+def bm25_vocab(spark, folder):
+    v = bm25.fit(_texts(spark, folder)).vocab
     return v.select("term", "df", F.col("idx").cast("long").alias("idx"), F.round("idf", 6).alias("idf"))
 
 
 @query("WITH " + EN + " SELECT doc_id, term, round(weight, 6) AS weight FROM wt")
-def bm25_weights(spark, folder, documents=_english):
-    docs = documents(spark, folder)
+def bm25_weights(spark, folder):
+    docs = _texts(spark, folder)
     m = bm25.fit(docs)
     return bm25.weights(bm25.tokenized(docs, "en"), m.vocab, m.meta, m.params).select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
 @query("WITH " + EN + " SELECT doc_id, count(term) AS n_terms, coalesce(min(idx), -1) AS first_idx, coalesce(max(idx), -1) AS last_idx FROM toks LEFT JOIN wt USING (doc_id) GROUP BY doc_id")
-def bm25_transform(spark, folder, documents=_english):
-    docs = documents(spark, folder)
+def bm25_transform(spark, folder):
+    docs = _texts(spark, folder)
     s = bm25.transform(docs, bm25.fit(docs))
     idx = F.col("sparse.indices")
     at = lambda i: F.coalesce(F.get(idx, i), F.lit(-1)).cast("long")
@@ -550,8 +542,8 @@ def bm25_transform(spark, folder, documents=_english):
     k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_id) AS rank FROM s)
     SELECT query_id, doc_id, rank, round(score, 6) AS score FROM k WHERE rank <= 10"""
 )
-def bm25_search(spark, folder, documents=_english):
-    docs = documents(spark, folder)
+def bm25_search(spark, folder):
+    docs = _texts(spark, folder)
     m = bm25.fit(docs)
     w = bm25.weights(bm25.tokenized(docs, "en"), m.vocab, m.meta, m.params)
     q = table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), F.explode(F.array_distinct(T.english_tokens(F.col("text"), bigrams=False))).alias("term")).withColumn("weight", F.lit(1.0))
@@ -560,14 +552,6 @@ def bm25_search(spark, folder, documents=_english):
     return s.withColumn("rank", rank).filter("rank <= 10").select("query_id", "doc_id", "rank", "score")
 
 
-def _over_all(f: Query) -> Query:
-    return lambda spark, folder: f(spark, folder, _every)
-
-
-for _f in (en_tokens, bm25_df, bm25_vocab, bm25_weights, bm25_transform, bm25_search):
-    QUERIES[f"{_f.__name__}_all"], SQL[f"{_f.__name__}_all"] = _over_all(_f), SQL[_f.__name__].replace(EN, EN_ALL)
-
-
 # ---- vectors --------------------------------------------------------------------------------------------------------
 
 
