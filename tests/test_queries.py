@@ -35,3 +35,13 @@ def test_entry():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_entry_and_bench_name_queries_that_are_there(spark):
+    import __spark_entry__ as e
+    import bench
+
+    assert set(bench.HEADLINE) <= set(e.queries())
+    if not os.path.isdir(FOLDER):
+        pytest.skip("no tables here")
+    assert e.entry(spark).count() > 0
