@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
 import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,6 +61,19 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of at most so many rows for what is written meanwhile: a batch is whole in the JVM's buffers, which double, and in
+    the Python worker's memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(rows if before is None or int(before) <= 0 else min(rows, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def literal_array(values: Sequence, kind: str) -> Column:
     """A constant array column; parsed from JSON, so that its length doesn't blow up generated code."""
     return F.from_json(F.lit(json.dumps(list(values))), f"array<{kind}>")

@@ -30,14 +30,16 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, own_columns, ship_package
+from .common import Scratch, arrow_batches, own_columns, ship_package
 
 #: Rows that one window task holds at most, about.
 BLOCK_ROWS = 1 << 18
+#: Rows of a batch of texts or ids, which is whole in memory.
+BATCH_ROWS = 2000
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
-def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
+def encoded(docs: DataFrame, path: str, end_id: int, max_chunks: int = 600_000) -> DataFrame:
     """doc_id, source, text_hash, n (ids with the end id), ids (little-endian unsigned 32-bit, or 16-bit if all fit)."""
     ship_package(docs.sparkSession)
 
@@ -47,7 +49,7 @@ def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
 
         from .tokens import encoder
 
-        enc = encoder(path)
+        enc = encoder(path, max_chunks)
         kind = np.dtype("<u2" if max(enc.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
         for batch in batches:
             at = 0
@@ -154,14 +156,15 @@ def queues(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     return running(queued, ["queue"], "block", ["luck", "doc_id", "text_hash", "key"], "n", "sent", scratch).select("key", "queue", "sent"), sources
 
 
-def pack(docs: DataFrame, path: str, end_id: int = 1, length: int = 2048, window: int = 64, weights: dict[str | None, float] | None = None) -> DataFrame:
+def pack(docs: DataFrame, path: str, end_id: int = 1, length: int = 2048, window: int = 64, weights: dict[str | None, float] | None = None, max_chunks: int = 600_000) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     weights: target shares of sources in a window (a source that isn't named has none until the others have run out);
-    if not given, each source's share of all tokens.
+    if not given, each source's share of all tokens.  max_chunks: of the encoder's cache, some 200 bytes each in every worker.
     """
     scratch = Scratch(docs.sparkSession, "packing")
-    ids = scratch.table(encoded(docs, path, end_id).withColumn("key", F.monotonically_increasing_id()))
+    with arrow_batches(docs.sparkSession, BATCH_ROWS):
+        ids = scratch.table(encoded(docs, path, end_id, max_chunks).withColumn("key", F.monotonically_increasing_id()))
     place, sources = queues(ids.select("key", "doc_id", "text_hash", "source", "n"), scratch)
     place = scratch.table(place)
     # A row a source reaches the driver and the tasks.
@@ -188,5 +191,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, length: int = 2048, window
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], [c.split()[0] for c in PIECES.split(", ")])
 
-    joined = ids.select("key", "doc_id", "n", "ids").join(place, "key")
-    return scratch.keep(joined.select("doc_id", "n", "ids", "queue", "sent").mapInArrow(run, PIECES))
+    # At every size the join that spills: where places are few, Spark would hash them, and shuffle ids only in larger tables.
+    joined = ids.select("key", "doc_id", "n", "ids").join(place.hint("merge"), "key")
+    with arrow_batches(docs.sparkSession, BATCH_ROWS):
+        return scratch.keep(joined.select("doc_id", "n", "ids", "queue", "sent").mapInArrow(run, PIECES))

@@ -171,14 +171,14 @@ class PieceEncoder:
         return ids, tokens
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
+_ENCODERS: dict[tuple[str, int], PieceEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
-    """This process's encoder of a vocabulary file."""
-    if path not in _ENCODERS:
+def encoder(path: str, max_chunks: int = 600_000) -> PieceEncoder:
+    """This process's encoder of a vocabulary file, with a cache of that size."""
+    if (path, max_chunks) not in _ENCODERS:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+        _ENCODERS[path, max_chunks] = PieceEncoder(path, max_chunks)
+    return _ENCODERS[path, max_chunks]

@@ -259,6 +259,24 @@ def test_places_do_not_depend_on_partitions(awkward):
         assert rows(run(awkward)) == rows(run(awkward.repartition(5, F.rand(3))))
 
 
+def test_packing_joins_ids_alike_at_every_size(awkward, small, monkeypatch):
+    plans, keep = [], packing.Scratch.keep
+    monkeypatch.setattr(packing.Scratch, "keep", lambda self, df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(self, df))
+    for df in (awkward, small):  # few places, which Spark would hash
+        packing.pack(df, vocabulary())
+    assert len(plans) == 2 and all("SortMergeJoin" in p and "HashJoin" not in p for p in plans)
+
+
+def test_packing_bounds_its_batches_and_cache(small, monkeypatch):
+    key, seen, table = "spark.sql.execution.arrow.maxRecordsPerBatch", [], packing.Scratch.table
+    conf, before = small.sparkSession.conf, small.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None)
+    monkeypatch.setattr(packing.Scratch, "table", lambda self, df, *a: seen.append(conf.get(key, None)) or table(self, df, *a))
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    want = rows(packing.pack(small, vocabulary()))
+    assert int(seen[0]) <= packing.BATCH_ROWS and conf.get(key, None) == before
+    assert rows(packing.pack(small, vocabulary(), max_chunks=100)) == want
+
+
 def test_packing_keeps_given_weights(small):
     source = {d: r["source"] for d, r in texts(small).items()}
     names = sorted(set(source.values()), key=str)
