@@ -40,7 +40,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 2048 tokens.
 
-    The encoder's cache is a third of the usual one, as the executors' heaps are full from the stages before.
+    The encoder's cache is a quarter of the operator's own, as the executors' heaps are full from the stages before.
     """
     return pack(docs, vocabulary(), max_chunks=200_000)
 
