@@ -6,11 +6,15 @@ image_included); runs is an array of (text, b, i, u, rStyle, sz, color, image_ri
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import bound, glued, is_blank, join_lines, join_tokens, normalize_run, part_of, strip
 from ..shipping import ship_package
+from .layout import whole_tables
 
 RUN = "struct<text:string,b:boolean,i:boolean,u:boolean,rStyle:string,sz:double,color:string,image_rids:array<string>>"
 FORMAT = ("b", "i", "u", "rStyle", "sz", "color")
@@ -119,19 +123,28 @@ def align(left: list[str | None], right: list[str | None]) -> list[int | None]:
 def merge_sources(first: DataFrame, second: DataFrame) -> DataFrame:
     """Rows of second (doc_id, ord, doc_index, text) with the ord and text of the row of first that each is matched with.
 
-    Greedy matching in order is a walk over a document, so documents are the groups of a cogrouped pandas function.
+    Greedy matching in order is a walk over a document, so Python does it; documents come to it in batches of many, put
+    together by a window with one shuffle of both readings.
     """
     ship_package(first.sparkSession)
-
-    def run(a, b):
-        a, b = a.sort_values("ord"), b.sort_values("ord")
-        texts = a["text"].tolist()
-        hits = align(texts, b["text"].tolist())
-        orders = a["ord"].tolist()
-        return b.assign(matched_ord=[None if h is None else orders[h] for h in hits], matched_text=[None if h is None else texts[h] for h in hits])[
-            ["doc_id", "ord", "doc_index", "text", "matched_ord", "matched_text"]
-        ].astype({"matched_ord": "Int64"})
-
     kind = dict(second.dtypes)["doc_id"]
+    side = lambda df, n, index: df.select("doc_id", F.lit(n).alias("side"), F.col("ord").cast("bigint").alias("ord"), index.cast("bigint").alias("doc_index"), "text")
+    both = side(first, 0, F.lit(None)).unionByName(side(second, 1, F.col("doc_index")))
+    both = both.withColumn("first", F.row_number().over(Window.partitionBy("doc_id").orderBy("side", "ord")) == 1)
     schema = f"doc_id {kind}, ord bigint, doc_index bigint, text string, matched_ord bigint, matched_text string"
-    return first.groupBy("doc_id").cogroup(second.groupBy("doc_id")).applyInPandas(run, schema)
+    return both.mapInArrow(_matched, schema)
+
+
+def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for t in whole_tables(batches, "first"):
+        begins = [i for i, b in enumerate(t["first"].to_pylist()) if b]
+        sides, texts = t["side"].to_pylist(), t["text"].to_pylist()
+        rows: list[int] = []
+        matched: list[int | None] = []
+        for lo, hi in zip(begins, [*begins[1:], len(t)]):
+            middle = next((i for i in range(lo, hi) if sides[i]), hi)
+            rows += range(middle, hi)
+            matched += [None if h is None else lo + h for h in align(texts[lo:middle], texts[middle:hi])]
+        own, other = t.select(["doc_id", "ord", "doc_index", "text"]).take(pa.array(rows, pa.int64())), t.select(["ord", "text"]).take(pa.array(matched, pa.int64()))
+        out = pa.table([*own.columns, *other.columns], names=["doc_id", "ord", "doc_index", "text", "matched_ord", "matched_text"])
+        yield from out.combine_chunks().to_batches()
