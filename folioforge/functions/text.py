@@ -74,12 +74,25 @@ def close_pattern(run_rules: bool = False) -> str:
     return "^(?:" + "|".join(f"[{KINDS[a]}][{KINDS[b]}]" for a, b in (*CLOSE, *(() if run_rules else CLOSE_PLAIN))) + ")$"
 
 
+#: Stands between texts while they are joined: no character, by Unicode's definition.
+SEAM = "\ufdd0"
+
+
+def close_seams(run_rules: bool = False) -> str:
+    """The Java pattern of a seam between two characters that meet without a space."""
+    ends = lambda a, b: ("" if a == "any" else f"(?<=[{KINDS[a]}]{SEAM})") + ("" if b == "any" else f"(?=[{KINDS[b]}])")
+    return f"{SEAM}(?:" + "|".join(ends(a, b) for a, b in (*CLOSE, *(() if run_rules else CLOSE_PLAIN))) + ")"
+
+
 def glued(parts: Column, run_rules: bool = False) -> Column:
     """An array's texts, none of them blank or with white space at its ends, as one: with a space between two of them unless
-    the characters that meet want none.  Each glue depends on two neighbours only, so the work is linear."""
+    the characters that meet want none.  The work is linear: all seams are looked at in one pass over the joined text, or, if
+    a text has a seam's character in it, one by one."""
     meet = lambda a, b: F.concat(F.substring(a, -1, 1), F.substring(b, 1, 1))
     glue = lambda a, b: F.when(meet(a, b).rlike(close_pattern(run_rules)), F.concat(a, F.lit(""))).otherwise(F.concat(a, F.lit(" ")))
-    return bound(parts, lambda p: F.array_join(F.zip_with(p, F.slice(p, 2, F.greatest(F.size(p), F.lit(1))), lambda a, b: F.when(b.isNull(), a).otherwise(glue(a, b))), ""))
+    by_one = lambda p: F.array_join(F.zip_with(p, F.slice(p, 2, F.greatest(F.size(p), F.lit(1))), lambda a, b: F.when(b.isNull(), a).otherwise(glue(a, b))), "")
+    at_once = lambda p: F.replace(F.regexp_replace(F.array_join(p, SEAM), close_seams(run_rules), ""), F.lit(SEAM), F.lit(" "))
+    return bound(parts, lambda p: F.when(F.contains(F.array_join(p, ""), F.lit(SEAM)), by_one(p)).otherwise(at_once(p)))
 
 
 def join_tokens(tokens: Column, run_rules: bool = False, clean: bool = False) -> Column:
@@ -111,7 +124,9 @@ def concat_tokens(left: Column, right: Column, run_rules: bool = False) -> Colum
 
 def normalize_run(c: Column) -> Column:
     """A run's text: no-break space as a space, zero-width space removed, white space runs as one space."""
-    return strip(F.regexp_replace(F.replace(F.replace(text_or_empty(c), F.lit(" "), F.lit(" ")), F.lit("​"), F.lit("")), r"(?U)\s+", " "))
+    whole = strip(F.regexp_replace(F.replace(F.replace(text_or_empty(c), F.lit(" "), F.lit(" ")), F.lit("​"), F.lit("")), r"(?U)\s+", " "))
+    # Most runs have nothing of this, which one look tells.
+    return F.when(c.rlike("(?U)[\\s\u00a0\u200b]"), whole).otherwise(text_or_empty(c))
 
 
 def normalize_for_compare(c: Column) -> Column:

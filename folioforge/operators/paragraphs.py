@@ -7,12 +7,14 @@ image_included); runs is an array of (text, b, i, u, rStyle, sz, color, image_ri
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import bound, glued, is_blank, join_lines, join_tokens, normalize_run, part_of, strip
+from ..functions.text import bound, glued, is_blank, join_lines, join_tokens, normalize_run, strip
 from ..shipping import ship_package
 from .layout import whole_tables
 
@@ -22,22 +24,22 @@ FORMAT = ("b", "i", "u", "rStyle", "sz", "color")
 
 def coalesce_runs(runs: Column) -> Column:
     """Neighbouring runs of one format as one; empty runs go.  The array stays in its row: no shuffle, and linear work: the
-    places where the format changes cut the array into slices, and each slice is one run."""
+    places where the format changes cut the array into stretches, and each stretch is one run.  Runs are read where they
+    are, as every array that is made of them copies them whole."""
     clean = F.filter(F.transform(runs, lambda r: r.withField("text", normalize_run(r["text"]))), lambda r: r["text"] != "")
     no_rids = F.array().cast("array<string>")
-    look = lambda r: F.struct(*(r[f] for f in FORMAT))
 
-    def one(part: Column) -> Column:
-        rids = F.array_distinct(F.flatten(F.transform(part, lambda r: F.coalesce(r["image_rids"], no_rids))))
-        first = F.get(part, F.lit(0))
-        whole = first.withField("text", glued(F.transform(part, lambda r: r["text"]), run_rules=True)).withField("image_rids", rids)
-        return F.when(F.size(part) > 1, whole).otherwise(first)
+    def one(c: Column, begin: Column, end: Column) -> Column:
+        each = lambda name: F.transform(F.sequence(begin, end - 1), lambda i: F.get(c, i)[name])
+        rids = F.array_distinct(F.flatten(F.transform(each("image_rids"), lambda r: F.coalesce(r, no_rids))))
+        first = F.get(c, begin)
+        whole = first.withField("text", glued(each("text"), run_rules=True)).withField("image_rids", rids)
+        return F.when(end - begin > 1, whole).otherwise(first)
 
     def cut(c: Column) -> Column:
-        first_or_changed = lambda f: lambda i: (i == 0) | ~F.get(f, i).eqNullSafe(F.get(f, i - 1))
-        changes = bound(F.transform(c, look), lambda f: F.filter(F.sequence(F.lit(0), F.size(f) - 1), first_or_changed(f)))
-        part = lambda starts: lambda i, k: part_of(c, i, F.coalesce(F.get(starts, k + 1), F.size(c)))
-        return bound(changes, lambda starts: F.transform(F.transform(starts, part(starts)), one))
+        same = lambda i: reduce(and_, (F.get(c, i)[f].eqNullSafe(F.get(c, i - 1)[f]) for f in FORMAT))
+        changes = F.filter(F.sequence(F.lit(0), F.size(c) - 1), lambda i: (i == 0) | ~same(i))
+        return bound(changes, lambda starts: F.transform(starts, lambda i, k: one(c, i, F.coalesce(F.get(starts, k + 1), F.size(c)))))
 
     return bound(clean, lambda c: F.when(F.size(c) > 0, cut(c)).otherwise(F.array().cast(f"array<{RUN}>")))
 
